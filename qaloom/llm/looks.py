@@ -19,8 +19,6 @@ an empty table; other columns pass through untouched.
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
-
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
@@ -51,15 +49,14 @@ RADICALS = {
     "⻪": "黾", "⻫": "斉", "⻬": "齐", "⻭": "歯", "⻮": "齿", "⻯": "竜", "⻰": "龙", "⻱": "龜", "⻲": "亀",
 }
 
-_INVISIBLE = regex.compile(r"[\p{Default_Ignorable_Code_Point}\p{Cc}--[\t\n\v\f\r\x85]]+", regex.V1)
-_SPACE = regex.compile(r"[\s\p{Z}]+")
+_INVISIBLE = regex.compile(r"[\p{Default_Ignorable_Code_Point}\p{Cc}--[\t\n\v\f\r\x85]]", regex.V1)
+_BLANK = regex.compile(r"[\s\p{Z}]")
 _MARK = regex.compile(r"\p{M}")
 _LETTERS = str.maketrans(LATIN_LOOKALIKES | OTHER_LOOKALIKES | RADICALS)
 #: Decompositions whose two sides are drawn alike. Circled, superscript, fraction and other styled forms show.
 _SAME_LOOK = ("<wide>", "<narrow>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>", "<vertical>")
 
 
-@lru_cache(maxsize=1 << 16)
 def _glyph(ch: str) -> str:
     """The usual character(s) drawn like ``ch``."""
     kind = unicodedata.decomposition(ch)
@@ -67,31 +64,53 @@ def _glyph(ch: str) -> str:
         return unicodedata.normalize("NFKC", ch)
     if kind.startswith("<compat>"):
         plain = unicodedata.normalize("NFKC", ch)
-        if len(plain) == 1 and unicodedata.category(plain) == "Lo" or "ﬀ" <= ch <= "ﬆ":
+        if len(plain) == 1 and unicodedata.category(plain) == "Lo" or "\ufb00" <= ch <= "\ufb06":
             return plain
     return ch
 
 
+class Table(dict):
+    """A translation table that works out each character when it is first met."""
+
+    def __init__(self, rule):
+        self.rule = rule
+
+    def __missing__(self, code: int) -> str:
+        self[code] = out = self.rule(chr(code))
+        return out
+
+
+def _seen(ch: str) -> str:
+    if _INVISIBLE.match(ch):
+        return ""
+    if _BLANK.match(ch):
+        return " "
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", _glyph(ch)).translate(_LETTERS))
+
+
+_SEEN = Table(_seen)
+
+
 def look_of(text: str | None) -> str | None:
     """``text`` as it is seen: equal looks give equal results."""
     if text is None:
         return None
-    if not text.isascii():
-        text = _INVISIBLE.sub("", text)
-        text = "".join(map(_glyph, text))
+    text = text.translate(_SEEN)
+    if not text.isascii() and _MARK.search(text):
         text = unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(_LETTERS))
-    else:
-        text = _INVISIBLE.sub("", text)
-    return _SPACE.sub(" ", text).strip(" ")
+    return " ".join(text.split())
 
 
 def form_of(text: str | None) -> str | None:
     """The consistent form: compatibility-normalised, case-folded ``look_of``."""
-    look = look_of(text)
+    return folded(look_of(text))
+
+
+def folded(look: str | None) -> str | None:
+    """The form of a text that is already as seen."""
     if look is None or look.isascii():
         return look if look is None else look.lower()
-    folded = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", look).casefold())
-    return _SPACE.sub(" ", folded).strip(" ")
+    return " ".join(unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", look).casefold()).split())
 
 
 def per_distinct(values: pd.Series, f) -> list:
@@ -104,7 +123,7 @@ def per_distinct(values: pd.Series, f) -> list:
 
 @F.pandas_udf(T.StructType([T.StructField("look", T.StringType()), T.StructField("form", T.StringType())]))
 def looks(values: pd.Series) -> pd.DataFrame:
-    both = per_distinct(values, lambda x: (look_of(x), form_of(x)))
+    both = per_distinct(values, lambda x: (y := look_of(x), folded(y)))
     return pd.DataFrame(both, columns=["look", "form"])
 
 
