@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import unicodedata
 
 import pandas as pd
 import regex
@@ -21,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaloom.llm.looks import form_of, per_distinct
+from qaloom.llm.looks import Table, form_of, per_distinct
 from qaloom.runtime import Scratch
 
-_DROPPED = regex.compile(r"[\p{P}\p{S}\p{Z}\s]+")
+_DROPPED = Table(lambda ch: "" if unicodedata.category(ch)[0] in "PSZC" else ch)
+_FIELDS = regex.compile(r"[:={\[]")
 _SPLIT = regex.compile(r"\s*[;|/\n]\s*|\s*,\s*(?=[^:=,;|/\n]{1,24}[:=])")
 _FIELD = regex.compile(r"\s*([^:=]{1,40}?)\s*[:=]\s*(.*)", regex.S)
 _QUOTED = regex.compile(r'"([^"]{1,60})"\s*:\s*(?:"([^"]*)"|([^",{}\[\]]+))')
@@ -32,7 +34,7 @@ _QUOTED = regex.compile(r'"([^"]{1,60})"\s*:\s*(?:"([^"]*)"|([^",{}\[\]]+))')
 
 def leaf(text: str) -> str:
     """A text without blanks, case, punctuation and width."""
-    return _DROPPED.sub("", form_of(text))
+    return form_of(text).translate(_DROPPED)
 
 
 def parse(text: str):
@@ -92,9 +94,12 @@ def _hash(x: bytes) -> bytes:
 
 def signed(text: str | None):
     """(digest, canonical) of a text, or (None, None) when nothing of it counts."""
-    if text is None or not leaf(text):
+    plain = None if text is None else leaf(text)
+    if not plain:
         return None, None
-    node = parse(text)
+    node = parse(text) if _FIELDS.search(form_of(text)) else text
+    if node is text:
+        return _hash(b"l" + plain.encode()), plain
     return digest(node), canonical(node)
 
 
