@@ -48,16 +48,17 @@ NAVIGATION = _C(
     r"(?:登录|注册|购物车|首页|商品|详情|返回首页|返回顶部|联系我们|上一篇|下一篇|当前位置|帮助中心|正在加载|产品介绍|商品介绍|版权归本店所有|home|login|sign in|cart|menu|contact us|back to top|loading|all rights reserved|\p{Han}{1,6}商城|[\s|>:./·,&©-])+",
     regex.I,
 )
-ERROR = _C(
+ERROR = regex.compile(
     r"\b(?:40[0-9]|50[0-9])\b|错误|出错|报错|异常|失败|超时|繁忙|维护中|稍后(?:再试|重试)|点击重试|重试|不存在|移走|被移除|已删除|下架|走丢|没有权限|无权|权限不足|已过期|失效|联系管理员|过于频繁|滑块|验证后继续|网址是否正确|拒绝访问|无法访问|加载不出|恢复访问|刷新或返回|暂时无法|找不到|看看别的"
     r"|not (?:be )?found|forbidden|\berror\b|exception|traceback|expired|went wrong|blocked|unavailable|try (?:again|reloading)|could not|cannot be|request id|bad gateway|oops|denied|timed? ?out|unauthorized|contact the administrator|home page|reload to|most recent call|file \"|null pointer|maintenance|too many requests|temporarily",
     regex.I,
 )
-SCRIPT = _C(r"java ?script|\bjs\b|脚本|noscript|cookies?|浏览器|scripts?\b|拦截插件|功能不可用|内容无法显示|开启后刷新|升级后重试", regex.I)
-FILLER = _C(
+SCRIPT = regex.compile(r"java ?script|\bjs\b|脚本|noscript|cookies?|浏览器|scripts?\b|拦截插件|功能不可用|内容无法显示|开启后刷新|升级后重试", regex.I)
+FILLER = regex.compile(
     r"占位(?:文本|文字|内容|符)?|\btodo\b|\btbd\b|\bfixme\b|待补充|待完善|待填充|补写|占个位|示例(?:文字|文本|内容)|说明文字|(?:这里|此处)(?:填写|输入|放)|测试(?:数据|内容|文本)?|(?:标题|内容|段落|正文)(?=$|[\s,、。;:])|lorem|ipsum|dolor|(?:asdf|qwer|zxcv|hjkl)\w*|\b(?:x{2,}|a{3,})\b|\b(?:12345|123456|1234)\b|敬请期待|内容建设中",
     regex.I,
 )
+NOTICE = regex.compile("|".join((ERROR.pattern, SCRIPT.pattern, FILLER.pattern)), regex.I)
 _TAG = _C(r"</?(?:p|br|div|span|noscript|html|body|head|title|h\d|a|ul|li|b|i|center|hr|script|meta)\b[^<>]*>", regex.I)
 _SENTENCE = _C(r"[^。!?！？;；\n]+[。!?！？;；]*")
 _WORD = _C(r"\p{Han}|[\p{L}\p{N}]+")
@@ -74,7 +75,7 @@ def tidy(text: str) -> str:
 
 def repetitive(words: list[str]) -> bool:
     """Few words said over and over, with nothing else."""
-    return len(words) >= 8 and len(set(words)) <= 0.4 * len(words) and len(set(words)) <= 24
+    return len(words) >= 8 and len(own := set(words)) <= 24 and len(own) <= 0.4 * len(words)
 
 
 def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool, str]:
@@ -82,18 +83,20 @@ def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool,
     if text is None or not text.strip():
         return False, False, 0, False, ""
     body = tidy(text)
+    words = _WORD.findall(body.lower())
+    if not PLACE.search(body) and not NOTICE.search(body) and not repetitive(words):
+        return False, False, 0, False, ""
     place, notice, content, kinds = False, 0, 0, set()
-    words: list[str] = []
+    words = []
     headed = False
     for m in _SENTENCE.finditer(body):
         s = m[0].strip()
         if not s or NAVIGATION.fullmatch(s.rstrip("。!?.…")):
             continue
         explained = MENTION.search(s) is not None
-        own = _WORD.findall(s)
         if not explained:
             place = place or PLACE.search(s) is not None
-            words += own
+            words += _WORD.findall(s.lower())
         hit = [k for k, p in (("error", ERROR), ("script", SCRIPT), ("filler", FILLER)) if p.search(s)]
         if hit and not explained:
             cue = sum(len(x[0]) for p in (ERROR, SCRIPT, FILLER) for x in p.finditer(s))
@@ -108,17 +111,16 @@ def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool,
             continue
         headed = True
         content += len(s)
-    words = [w.lower() for w in words]
     mass = repetitive(words) and ("filler" in kinds or not any(c.isdigit() for w in words for c in w))
     low = mass or (notice > 0 and content <= max(SPARE, SHARE * notice))
-    masked = regex.sub(r"[0-9a-fA-F]{6,}|\d+|[A-Za-z]{2}-?\d+", "#", body)
+    masked = low and regex.sub(r"[0-9a-fA-F]{6,}|\d+|[A-Za-z]{2}-?\d+", "#", body)
     shares = False
-    if title:
+    if title and low:
         seen = regex.sub(r"\W", "", look_of(title)).lower()
         flat = regex.sub(r"\W", "", body).lower()
         shares = any(seen[i : i + 4] in flat for i in range(max(1, len(seen) - 3))) if len(seen) >= 4 else False
     strength = len(kinds - {"strong"}) + ("strong" in kinds) + 2 * mass
-    return place, low, strength, shares, masked if low else ""
+    return place, low, strength, shares, masked or ""
 
 
 _SHAPE = T.StructType([T.StructField("place", T.BooleanType()), T.StructField("low", T.BooleanType()), T.StructField("strength", T.IntegerType()), T.StructField("shares", T.BooleanType()), T.StructField("masked", T.StringType())])
