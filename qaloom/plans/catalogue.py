@@ -1,6 +1,344 @@
-"""Every query outside the training-data subpackage, with its SQL."""
+"""Every query outside the training-data subpackage, over whole tables, with its SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from qaloom import config
+from qaloom.functions import signals, text, vectors
+from qaloom.operators import cluster, filters, govern, graph, recall, rerank
+from qaloom.plans.oracle import SQL  # noqa: F401
+from qaloom.plans.pipeline import Pipeline
+from qaloom.runtime import Scratch
+from qaloom.sources import files
+from qaloom.streaming import filtering
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+HIGH = 0.83
+VIEW_BOUNDS, VIEW_COSINE, VIEW_STD = [(1, 22), (23, 21), (44, 21)], 0.3, 0.15
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    return filters.clean(table(spark, folder, "stage1_clean"))
+
+
+def _edges(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.edges(table(spark, folder, "stage3_ranked_pairs"), HIGH)
+
+
+def _components(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    e = Scratch(spark, "edges").put(_edges(spark, folder))
+    return e, graph.components(e).select(F.col("component").alias("cluster"), "node")
+
+
+def _clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Each delivered cluster once."""
+    return table(spark, folder, "final_clusters").groupBy("cluster_id").agg(F.min("members").alias("members"))
+
+
+def _answers(spark: SparkSession, folder: str) -> DataFrame:
+    return govern.member_answers(_clusters(spark, folder), table(spark, folder, "stage1_clean"))
+
+
+def _knn(spark: SparkSession, folder: str, k: int = 10, index: str = "flat_ip", **options) -> DataFrame:
+    e = table(spark, folder, "embeddings")
+    return recall.provider(index, "vec_id", "embedding", **options).build(e).search(e, k)
+
+
+@query
+def qa_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Filter questions, link the kept rows by strong pairs, govern the groups' answers."""
+    rows = filters.keep(_cleaned(spark, folder)).select("pos", "question", "answer")
+    rows = Scratch(spark, "kept").put(rows)
+    pairs = table(spark, folder, "stage3_ranked_pairs")
+    for end in ("i", "j"):
+        pairs = pairs.join(rows.select(F.col("pos").alias(end)), end, "left_semi")
+    comp = graph.components(graph.edges(pairs, HIGH))
+    groups = comp.groupBy(F.col("component").alias("cluster_id")).agg(F.sort_array(F.collect_list("node")).alias("members")).withColumn("center", F.col("cluster_id"))
+    out = govern.govern(groups, rows)
+    return govern.members_text(out)
+
+
+@query
+def qa_pipeline_stages(spark: SparkSession, folder: str) -> DataFrame:
+    """All five stages with the model-free encoders and scorers; clusters of the constraint engine."""
+    c = config.load(environ={})
+    for k, v in (("recall.topk", 20), ("cluster.engine", "parallel"), ("consistency.cos_a", 0.6), ("consistency.cos_b", 0.6), ("consistency.cos_c", 0.6), ("consistency.std_max", 0.2), ("observe.enable", False), ("observe.save_histograms", False)):
+        c.set(k, v)
+    p = Pipeline(spark, c, f"{folder}/stage1_clean.parquet", Scratch(spark, "pipeline").root)
+    p.run()
+    return govern.members_text(p.get("final_clusters.parquet"))
+
+
+@query
+def normalize_text(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "stage1_clean").select("pos", text.normalize(F.col("question")).alias("question"), text.normalize(F.col("answer")).alias("answer"))
+
+
+@query
+def to_halfwidth(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", text.to_halfwidth(F.col("text")).alias("half"))
+
+
+@query
+def filter_reason(spark: SparkSession, folder: str) -> DataFrame:
+    return _cleaned(spark, folder).select("pos", "reason", (F.col("reason") != "blacklist").alias("keep"))
+
+
+@query
+def filter_reason_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return filters.reason_counts(_cleaned(spark, folder))
+
+
+@query
+def filter_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(filters.filter_stats(_cleaned(spark, folder)), "keep_rate")
+
+
+@query
+def dense_position(spark: SparkSession, folder: str) -> DataFrame:
+    return filters.dense_position(filters.keep(_cleaned(spark, folder)).select("pos"), "place", "pos")
+
+
+@query
+def auto_id(spark: SparkSession, folder: str) -> DataFrame:
+    return filters.with_id(table(spark, folder, "documents").select("doc_id", "source"), "doc_id")
+
+
+@query
+def char_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    grams = text.char_ngrams(F.col("question"), 3)
+    return table(spark, folder, "stage1_clean").filter("question is not null").select("pos", F.size(grams).alias("n"), F.array_join(F.sort_array(grams), "|").alias("grams"))
+
+
+@query
+def ngram_jaccard_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "stage1_clean").filter("question is not null").select("pos", F.length("question").alias("len"), text.char_ngrams(F.col("question"), 3).alias("grams"))
+    pairs = recall.canonical_pairs(table(spark, folder, "stage3_ranked_pairs"), "i", "j")
+    both = recall.attach(pairs, rows, "pos", "len", "grams")
+    limit = F.when(F.least("len_i", "len_j") < 10, 0.50).otherwise(0.45)
+    sim = text.jaccard(F.col("grams_i"), F.col("grams_j"))
+    return both.select("i", "j", F.round(sim, 6).alias("jaccard"), (sim >= limit).alias("hit"))
+
+
+@query
+def edit_distance(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "stage1_clean").filter("question is not null")
+    both = recall.attach(recall.canonical_pairs(table(spark, folder, "stage3_ranked_pairs"), "i", "j"), rows, "pos", "question")
+    return both.select("i", "j", text.edit_distance(F.col("question_i"), F.col("question_j")).alias("distance"))
+
+
+@query
+def hashed_embedding(spark: SparkSession, folder: str) -> DataFrame:
+    rows = recall.HashedNgrams().encode(table(spark, folder, "stage1_clean").select("pos", "question"), "question", "emb")
+    return rows.select("pos", F.round(vectors.norm(F.col("emb")), 4).alias("norm"))
+
+
+@query
+def l2_normalize(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "embeddings")
+    unit = vectors.unit(F.transform("embedding", lambda x: x.cast("double") * 3))
+    return e.select("vec_id", F.posexplode(unit).alias("k", "x")).select("vec_id", "k", F.round("x", 5).alias("x"))
+
+
+@query
+def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_knn(spark, folder), "score", digits=5)
+
+
+@query
+def knn_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    return _knn(spark, folder, 10, "ivf_flat_ip", nlist=32, nprobe=8)
+
+
+@query
+def knn_hashed(spark: SparkSession, folder: str) -> DataFrame:
+    return _knn(spark, folder, 10, "hnsw_ip")
+
+
+@query
+def candidate_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return recall.canonical_pairs(_knn(spark, folder), "q", "j")
+
+
+@query
+def ngram_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Vector recall over hashed n-grams, n-gram pass on the nearest, union of both."""
+    rows = filters.keep(_cleaned(spark, folder)).select("pos", "question")
+    rows = Scratch(spark, "encoded").put(recall.HashedNgrams().encode(rows, "question", "emb"))
+    found = recall.provider("flat_ip", "pos", "emb").build(rows).search(rows, 20)
+    return recall.candidate_pairs(recall.ngram_pass(found, rows, "pos", "question", nearest=10))
+
+
+@query
+def consistency_vote(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "embeddings")
+    names = [f"v{x}" for x in range(3)]
+    rows = e.select("vec_id", *[v.alias(n) for n, v in zip(names, vectors.views(F.col("embedding"), VIEW_BOUNDS), strict=True)])
+    pairs = recall.canonical_pairs(_knn(spark, folder), "q", "j")
+    out = recall.consistency(pairs, rows, "vec_id", names, [VIEW_COSINE] * 3, VIEW_STD)
+    return out.select("i", "j", "votes", F.round("spread", 5).alias("spread"), "consistent")
+
+
+@query
+def fusion_tiers(spark: SparkSession, folder: str) -> DataFrame:
+    ranked = rerank.rank_pairs(table(spark, folder, "stage3_ranked_pairs").drop("ce_final", "label"))
+    return ranked.select("i", "j", F.round("ce_final", 9).alias("ce_final"), "label")
+
+
+@query
+def score_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(rerank.score_stats(table(spark, folder, "stage3_ranked_pairs")), "p10", "p50", "p90", "high_ratio", "mid_ratio")
+
+
+@query
+def score_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return rerank.histogram(table(spark, folder, "stage3_ranked_pairs"), "ce_final")
+
+
+@query
+def connected_components(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.components(_edges(spark, folder))
+
+
+@query
+def center_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    e, comp = _components(spark, folder)
+    return rounded(cluster.validated(comp, e), "coverage", "mean", "median", "p10", digits=9)
+
+
+@query
+def protected_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    e, comp = _components(spark, folder)
+    bad = cluster.validated(comp, e).filter("not ok")
+    return rounded(cluster.protected_pairs(bad, comp, e), "w")
+
+
+@query
+def constrained_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found = cluster.numbered(cluster.constrained(_components(spark, folder)[0]))
+    return govern.members_text(found)
+
+
+@query
+def second_merge(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = table(spark, folder, "stage3_ranked_pairs")
+    return govern.members_text(cluster.cluster_pairs(pairs, "parallel"))
+
+
+@query
+def drop_subsets(spark: SparkSession, folder: str) -> DataFrame:
+    c = cluster.cluster_pairs(table(spark, folder, "stage3_ranked_pairs"), "parallel")
+    return govern.members_text(cluster.drop_subsets(c))
+
+
+@query
+def degree_centers(spark: SparkSession, folder: str) -> DataFrame:
+    e, comp = _components(spark, folder)
+    return govern.members_text(cluster.degree_centres(comp.withColumnRenamed("cluster", "community"), e))
+
+
+@query
+def louvain(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.communities(Scratch(spark, "edges").put(_edges(spark, folder)), "louvain")
+
+
+@query
+def leiden(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.communities(Scratch(spark, "edges").put(_edges(spark, folder)), "leiden")
+
+
+@query
+def modularity(spark: SparkSession, folder: str) -> DataFrame:
+    e, comp = _components(spark, folder)
+    return rounded(graph.modularity(e, comp.withColumnRenamed("cluster", "community")), "modularity")
+
+
+@query
+def community_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return govern.members_text(cluster.cluster_pairs(table(spark, folder, "stage3_ranked_pairs"), "networkx", "leiden"))
+
+
+@query
+def community_stats(spark: SparkSession, folder: str) -> DataFrame:
+    e, comp = _components(spark, folder)
+    found = cluster.degree_centres(comp.withColumnRenamed("cluster", "community"), e)
+    return rounded(cluster.community_stats(found, e, "connected_components"), "size_avg")
+
+
+@query
+def cluster_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(cluster.size_stats(_clusters(spark, folder), "parallel"), "size_p50", "size_p90")
+
+
+@query
+def extract_signals(spark: SparkSession, folder: str) -> DataFrame:
+    s = table(spark, folder, "stage1_clean").filter("answer is not null").select("pos", signals.signals(text.normalize(F.col("answer"))).alias("s")).select("pos", "s.*")
+    return s.select("pos", *[F.array_join(c, "|").alias(c) for c in s.columns[1:]])
+
+
+@query
+def hard_conflict(spark: SparkSession, folder: str) -> DataFrame:
+    return govern.conflicts(_answers(spark, folder))
+
+
+@query
+def representative_answer(spark: SparkSession, folder: str) -> DataFrame:
+    return govern.representatives(_answers(spark, folder))
+
+
+@query
+def merge_answers(spark: SparkSession, folder: str) -> DataFrame:
+    return govern.merged(_answers(spark, folder))
+
+
+@query
+def members_text(spark: SparkSession, folder: str) -> DataFrame:
+    return govern.members_text(_clusters(spark, folder))
+
+
+@query
+def govern_stats(spark: SparkSession, folder: str) -> DataFrame:
+    t = table(spark, folder, "final_clusters")
+    return rounded(govern.govern_stats(t), "merge_rate")
+
+
+@query
+def recall_stats(spark: SparkSession, folder: str) -> DataFrame:
+    found = Scratch(spark, "found").put(_knn(spark, folder))
+    marked = found.select(F.col("q").alias("i"), "j", "score", (F.col("score") >= 0.3).alias("ngram_hit"), F.col("score").alias("jaccard"))
+    pairs = recall.candidate_pairs(marked)
+    voted = pairs.withColumn("consistent", F.col("score_hint") >= 0.25)
+    return rounded(recall.recall_stats(found, marked, pairs, voted), "pass_rate")
+
+
+@query
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{Scratch(spark, 'csv').root}/kb.csv"
+    files.write_csv(table(spark, folder, "kb_sources"), path)
+    return files.read_table(spark, path)
+
+
+@query
+def stream_filter(spark: SparkSession, folder: str) -> DataFrame:
+    root = Scratch(spark, "stream").root
+    t = table(spark, folder, "stage1_clean")
+    stream = filtering.read_stream(spark, f"{folder}/stage1_clean.parquet*", t.schema)
+    filtering.run_once(filtering.filter_stream(stream).select("pos", "question"), f"{root}/out", f"{root}/log")
+    return spark.read.parquet(f"{root}/out")
