@@ -1,8 +1,8 @@
 """Text functions on columns: normalisation, rule matching, character n-grams, similarity.
 
-Everything but compatibility normalisation is a built-in expression. Compatibility
-normalisation has no built-in and runs as an Arrow function, once per distinct value of
-a batch; texts of stable characters only are handed back untouched.
+Everything but normalisation is a built-in expression. Compatibility normalisation has no
+built-in, so normalisation is an Arrow function, worked out once per distinct value of a
+batch.
 """
 
 from __future__ import annotations
@@ -46,27 +46,30 @@ def to_halfwidth(c: Column) -> Column:
     return F.translate(c, FULL_WIDTH, HALF_WIDTH)
 
 
-def _nfkc(x: str | None) -> str | None:
-    return x if x is None or _STABLE.fullmatch(x) else unicodedata.normalize("NFKC", x)
+_CLEAN = str.maketrans(dict(zip(FULL_WIDTH, HALF_WIDTH, strict=True)) | PUNCTUATION | {chr(c): " " for c in (*range(32), 127)})
+
+
+def normalized(x: str) -> str:
+    """The normalised form of one text."""
+    if not _STABLE.fullmatch(x):
+        x = unicodedata.normalize("NFKC", x)
+    return " ".join(x.translate(_CLEAN).split())
 
 
 @F.pandas_udf(T.StringType())
-def nfkc(values: pd.Series) -> pd.Series:
+def _normalize(values: pd.Series) -> pd.Series:
     codes, distinct = pd.factorize(values)
-    out = [_nfkc(x) for x in distinct] + [None]
+    out = [normalized(x) for x in distinct] + [None]
     return pd.Series([out[i] for i in codes], dtype=object)
 
 
-def plain_normalize(c: Column) -> Column:
-    """``normalize`` after compatibility normalisation: expressions only."""
-    c = F.regexp_replace(to_halfwidth(c), r"[\x00-\x1F\x7F]", " ")
-    c = F.translate(c, "".join(PUNCTUATION), "".join(PUNCTUATION.values()))
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), r"^ | $", "")
-
-
 def normalize(c: Column) -> Column:
-    """Compatibility forms, half width, control characters, punctuation and runs of space unified."""
-    return plain_normalize(nfkc(c.cast("string")))
+    """Compatibility forms, half width, control characters, punctuation and runs of space unified.
+
+    One Arrow function does it all: what follows reads its result as a plain column,
+    where a chain of expressions would be worked out again by each expression above it.
+    """
+    return _normalize(c.cast("string"))
 
 
 def match_any(c: Column, patterns: list[str]) -> Column:
