@@ -37,7 +37,7 @@ _C = regex.compile
 PLACE = _C(
     r"\{\{[^{}\n]{0,60}\}\}|\{%[^%\n]{1,60}%\}|<%=?[^%\n]{1,60}%>|[$#&]\{[^{}\n]{0,60}\}|\[\[[^\[\]\n]{1,60}\]\]|@@\w+@@|##?\w+##?(?!\d)"
     r"|%\([\w.]+\)[sd]|%[sd](?![A-Za-z])|\$[A-Za-z_][\w.]*\$|<[A-Za-z]+_[A-Za-z_]+>|\{\}|\{[A-Za-z_]\w*\}|\{\d\}|\{\p{Han}{1,12}\}|<\p{Han}{1,12}>|__[A-Z_]+__"
-    r"|\bundefined\b|\[object Object\]|\bNaN\b|(?<!\w)null(?=\p{Han}|[,;:!])"
+    r"|(?<![A-Za-z])(?:undefined|NaN)(?![A-Za-z])|\[object Object\]|(?<![A-Za-z])null(?=\p{Han}|[,;:!])"
     r"|[(\[{<〔【《「][^()\[\]{}<>〔〕【】《》「」\n]{0,6}(?:请填写|待填写?|在此输入|此处插入|此处填写|请输入|请插入|插入此处)[^()\[\]{}<>〔〕【】《》「」\n]{0,20}[)\]}>〕】》」]"
     r"|[(\[{<〔【《「][^()\[\]{}<>〔〕【】《》「」\n]{1,14}(?:待定|待补充|待填)[)\]}>〕】》」]"
     r"|〔(?:产品名称|客户姓名|联系电话|订单编号|门店地址|金额|日期|正文|[^〔〕\n]{2,8})〕"

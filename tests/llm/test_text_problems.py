@@ -1,0 +1,135 @@
+"""Problems 1, 2, 7 and 10 on small tables, with brute force where a plain definition exists."""
+
+import itertools
+import random
+import re
+
+import pytest
+
+from qaloom.llm import copies, defects, looks, residue
+
+WIDE = "pos long, question string, answer string, look string, key string, form string"
+
+
+def frame(spark, rows, schema="pos long, question string, answer string"):
+    return spark.createDataFrame(rows, schema)
+
+
+def got(df, *cols):
+    return {tuple(r) for r in df.select(*cols).collect()}
+
+
+@pytest.mark.parametrize(
+    "a,b",
+    [("ABC１２", "ＡＢＣ12"), ("Pélorin", "Pélorin"), ("Моdеl", "Model"), ("人⼯", "⼈工"), ("车页长", "⻋⻚⻓"), ("a b", "a　b"), ("ab", "a​b"), ("﻿x­", "x"), (" a ", "a")],
+)
+def test_same_look(a, b):
+    assert looks.look_of(a) == looks.look_of(b)
+
+
+@pytest.mark.parametrize("a,b", [("ABC", "abc"), ("a b", "ab"), ("你好。", "你好."), ("①", "1"), ("x²", "x2"), ("O0", "OO"), ("…", "...")])
+def test_other_look(a, b):
+    assert looks.look_of(a) != looks.look_of(b)
+
+
+def test_forms():
+    assert looks.form_of("ＳＴＲＡßE ①") == "strasse 1" and looks.form_of(None) is None and looks.form_of("​ \n") == ""
+    rng = random.Random(2)
+    pool = "aＡé́Е​ 　⼀一①ß。,"
+    for _ in range(500):
+        x = looks.form_of("".join(rng.choices(pool, k=8)))
+        assert looks.form_of(x) == x
+
+
+def test_alike_pairs_against_brute_force(spark):
+    rng = random.Random(3)
+    pool = ["Model 1", "Мodel 1", "Model　1", "Model  1", "model 1", "Model1", "Ｍodel 1", None, "", "​", "再见", "再⾒"]
+    rows = [(i, rng.choice(pool), rng.choice(pool)) for i in range(60)]
+    plain = lambda x: re.sub(r"[ \t\r\n\v\f]+", " ", x).strip(" ")
+    want = set()
+    for f, k in (("question", 1), ("answer", 2)):
+        for x, y in itertools.combinations(rows, 2):
+            if x[k] is not None and y[k] is not None and looks.look_of(x[k]) and looks.look_of(x[k]) == looks.look_of(y[k]) and plain(x[k]) != plain(y[k]):
+                want.add((f, x[0], y[0]))
+    df = frame(spark, rows + rows[:5]).withColumnsRenamed({})
+    assert got(looks.seen_alike(df, "pos", "question", "answer"), "field_name", "pos_a", "pos_b") == want
+    assert looks.seen_alike(df.limit(0), "pos", "question").count() == 0
+    clash = frame(spark, [(1, "Ａ", None, "l", "k", "f"), (2, "A", None, "l", "k", "f")], WIDE)
+    assert got(looks.seen_alike(clash, "pos", "question", "answer"), "pos_a", "pos_b") == {(1, 2)}
+    assert looks.normalise_columns(clash, "question").columns == clash.columns
+
+
+@pytest.mark.parametrize(
+    "a,b",
+    [
+        ("产品：X；编号：Y1；问题：怎么退", "问题 : 怎么退;\n编号 : y1;\n产品 : x"), ("产品:X / 编号:Y / 问题:Z", "编号:Y | 问题:Z | 产品:X"),
+        ('{"a": "x", "b": {"c": 1, "d": [1, 2]}}', '{"b": {"d": [1,2], "c": 1}, "a": "X"}'), ("怎么 退款？", "怎么退款"), ("HELLO, world", "hello world!"),
+        ('{"a": "x", "b": "y"}!', '{"b" : "y" ,\n"a" : "x"}'), ("产品：X；编号：Y", '{"编号": "y", "产品": "x"}'),
+    ],
+)
+def test_same_record(a, b):
+    assert copies.signed(a) == copies.signed(b) != (None, None)
+
+
+@pytest.mark.parametrize("a,b", [("产品:X;编号:Y", "产品:Y;编号:X"), ('{"a": [1, 2]}', '{"a": [2, 1]}'), ("退款", "退货"), ("abc", "cba")])
+def test_other_record(a, b):
+    assert copies.signed(a) != copies.signed(b)
+
+
+def test_copy_links(spark):
+    rows = [(5, "怎么退款？", "a"), (2, "怎么 退款", "b"), (9, "怎么退款", "c"), (1, "别的", "d"), (3, None, "e"), (4, "", "f"), (6, "？！", "g"), (7, "？！", "h"), (8, "长" * 20000, "x"), (10, "长" * 20000 + "。", "y")]
+    df = frame(spark, rows)
+    assert got(copies.copy_links(df.union(df), "pos", "question"), "keep_pos", "copy_pos") == {(2, 5), (2, 9), (8, 10)}
+    kept = {r.pos: r.copies for r in copies.collapse(df, "pos", "question").collect()}
+    assert kept == {1: 1, 2: 3, 3: 1, 4: 1, 6: 1, 7: 1, 8: 2}
+    assert copies.copy_links(df.limit(0), "pos", "question").count() == 0
+    named = df.withColumnRenamed("answer", "copies")
+    assert copies.collapse(named, "pos", "question").columns == ["pos", "question", "copies", "copies_"]
+
+
+TAIL = "退款申请提交后3天内原路退回。"
+PAIRS = [
+    (1, "怎么退款？", None, "empty"), (2, "怎么退款？", " 　", "empty"), (3, "怎么退款？", "<p></p>", "empty"), (4, "怎么退款？", "N/A", "empty"), (5, "怎么退款？", "……", "empty"),
+    (6, "X1 怎么申请退款呢？", "“X1 怎么申请退款呢”", "copy"), (7, "X1 怎么申请退款呢？", "X1怎么申请退款呢？X1 怎么申请退款呢", "copy"), (8, "X1 怎么申请退款呢？", "问题：X1 怎么申请退款呢？", "copy"),
+    (9, "X1 怎么申请退款呢？", "关于“X1 怎么申请退款呢”：" + TAIL, None), (10, "X1 怎么申请退款呢？", "Open the order page and press the return button; it takes 3 days.", "language"),
+    (11, "How do I return the X1?", "请先在小程序提交退款单，三天内打款。", "language"), (12, "X1 怎么申请退款呢？", "X1の返品は注文ページから申し込んでください。", "language"),
+    (13, "How do I return the X1?", "Le retour de X1 se fait depuis la page de commande, le remboursement prend 3 jours.", "language"),
+    (14, "安装费怎么收？", "很抱歉，我无法回答这个问题。", "refusal"), (15, "积分多久过期？", "不好意思，我无法回答这个问题，感谢理解。", "refusal"),
+    (16, "How do I reset it?", "I'm sorry, but I can't help with that.", "refusal"), (17, "Where is the invoice?", "Sorry, but I can't help with that!", "refusal"),
+    (18, "怎么退？", TAIL, None), (19, "怎么退货？", TAIL[:-1], None), (20, "怎么换？", "可以，支持。", None), (21, "怎么退呢？", TAIL, None), (22, "怎么退？", "退款申请提交后3天内", "truncated"),
+    (23, "怎么退？", TAIL + "另外，", "truncated"), (24, "怎么退？", "退款申请提�", "truncated"), (25, None, TAIL, None), (26, None, "", "empty"), (27, "怎么换货？", "抱歉给您添麻烦了，" + TAIL, None),
+]
+
+
+def test_defects(spark):
+    df = frame(spark, [p[:3] for p in PAIRS] + [PAIRS[0][:3]])
+    assert got(defects.defects(df, "pos", "question", "answer"), "pos", "defect") == {(p[0], p[3]) for p in PAIRS if p[3]}
+    assert defects.defects(df.limit(0), "pos", "question", "answer").count() == 0
+    clash = df.withColumnRenamed("question", "clauses").withColumnRenamed("answer", "last")
+    assert defects.defects(clash, "pos", "clauses", "last").count() == sum(p[3] is not None for p in PAIRS)
+
+
+def test_very_long_answer(spark):
+    df = frame(spark, [(1, "怎么退？", TAIL * 3000), (2, "怎么退？", TAIL * 3000 + "退款申请提交后3天")])
+    assert got(defects.defects(df, "pos", "question", "answer"), "pos", "defect") == {(2, "truncated")}
+
+
+REAL = "本产品付款后5小时内发货，预售款以2023年1月2日为准。物流停滞超过3天，请在小程序首页点“催件”，客服会重新派单。"
+DOCS = [
+    (1, "尊敬的{{user_name}}，您好！" + REAL, True), (2, "把undefined挪到离墙5厘米的位置。", True), (3, "补开【请填写产品名称】的发票请提前提交。" + REAL, True), (4, "#content#的积分未到账请申诉。", True),
+    (5, "404 Not Found\nThe server could not complete your request.", True), (6, "您没有权限查看此页面，请登录后重试。", True), (7, "正在加载…\n请启用 JavaScript 以继续浏览本页。", True), (8, "You need to enable JavaScript to view this shop.", True),
+    (9, "正文内容待补充。" * 40, True), (10, "产品介绍\nLorem ipsum dolor amet lorem ipsum dolor amet", True), (11, "asdf qwer asdf zxcv asdf qwer", True), (12, "TODO\n先占个位\nTODO", True),
+    (13, "遇到 502 报错时请记下时间和编号，工程师会据此查日志。\n" + REAL, False), (14, "客服话术模板怎么写？用“{{user_name}}”这样的写法代表客户姓名，发送时系统会自动换成真实内容。\n" + REAL, False),
+    (15, "如何在浏览器里启用 JavaScript？进入设置，选“网站权限”，打开脚本开关后再登录即可。\n" + REAL, False), (16, REAL, False), (17, None, False), (18, "", False), (19, "  \n", False), (20, REAL * 500, False), (5_000, "404 Not Found\nThe server could not complete your request.", True),
+    (21, "The invoice for X1 is sent by mail within 3 hours and stays available for 2 months.", False),
+]
+
+
+def test_residue(spark):
+    df = spark.createDataFrame([(i, t, None, "kb1") for i, t, _ in DOCS] + [(1, DOCS[0][1], None, "kb1")], "doc_id long, text string, title string, source string")
+    assert {r.doc_id for r in residue.residue_rows(df, "doc_id", "text", "title", "source").collect()} == {i for i, _, bad in DOCS if bad}
+    assert residue.residue_rows(df.limit(0), "doc_id", "text", "title", "source").count() == 0
+    left = residue.without_residue(df, "doc_id", "text", "title", "source")
+    assert {r.doc_id for r in left.collect()} == {i for i, _, bad in DOCS if not bad}
+    clash = df.withColumnRenamed("title", "place").withColumnRenamed("source", "low")
+    assert residue.residue_rows(clash, "doc_id", "text", "place", "low").count() == sum(b for _, _, b in DOCS)
