@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from qaloom.runtime import Scratch
 
-BETA = 0.4
+BETA = 0.1
 ROUNDS = 3
 MAX_LEVELS = 64
 
