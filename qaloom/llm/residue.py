@@ -58,24 +58,26 @@ FILLER = regex.compile(
     r"占位(?:文本|文字|内容|符)?|\btodo\b|\btbd\b|\bfixme\b|待补充|待完善|待填充|补写|占个位|示例(?:文字|文本|内容)|说明文字|(?:这里|此处)(?:填写|输入|放)|测试(?:数据|内容|文本)?|(?:标题|内容|段落|正文)(?=$|[\s,、。;:])|lorem|ipsum|dolor|(?:asdf|qwer|zxcv|hjkl)\w*|\b(?:x{2,}|a{3,})\b|\b(?:12345|123456|1234)\b|敬请期待|内容建设中",
     regex.I,
 )
-NOTICE = regex.compile("|".join((ERROR.pattern, SCRIPT.pattern, FILLER.pattern)), regex.I)
 _TAG = _C(r"</?(?:p|br|div|span|noscript|html|body|head|title|h\d|a|ul|li|b|i|center|hr|script|meta)\b[^<>]*>", regex.I)
 _SENTENCE = _C(r"[^。!?！？;；\n]+[。!?！？;；]*")
 _WORD = _C(r"\p{Han}|[\p{L}\p{N}]+")
 #: Content characters a low-information body may have per character of its notices, and in all.
 SHARE, SPARE = 0.5, 12
 ENOUGH = 2
+FEW_WORDS = 24
 
 
 def tidy(text: str) -> str:
     """The text as seen, line by line, without plain markup."""
-    lines = (look_of(x) for x in _TAG.sub("\n", unicodedata.normalize("NFKC", text)).splitlines())
+    if not unicodedata.is_normalized("NFKC", text):
+        text = unicodedata.normalize("NFKC", text)
+    lines = (look_of(x) for x in (_TAG.sub("\n", text) if "<" in text else text).splitlines())
     return "\n".join(x for x in lines if x)
 
 
 def repetitive(words: list[str]) -> bool:
     """Few words said over and over, with nothing else."""
-    return len(words) >= 8 and len(own := set(words)) <= 24 and len(own) <= 0.4 * len(words)
+    return len(words) >= 8 and len(own := set(words)) <= FEW_WORDS and len(own) <= 0.4 * len(words)
 
 
 def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool, str]:
@@ -83,8 +85,9 @@ def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool,
     if text is None or not text.strip():
         return False, False, 0, False, ""
     body = tidy(text)
-    words = _WORD.findall(body.lower())
-    if not PLACE.search(body) and not NOTICE.search(body) and not repetitive(words):
+    # A few words over and over use few different characters.
+    dull = len(set(body)) <= 4 * FEW_WORDS and repetitive(_WORD.findall(body.lower()))
+    if not dull and not (PLACE.search(body) or ERROR.search(body) or SCRIPT.search(body) or FILLER.search(body)):
         return False, False, 0, False, ""
     place, notice, content, kinds = False, 0, 0, set()
     words = []
