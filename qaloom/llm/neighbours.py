@@ -105,7 +105,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k: int = 10, pivots: int = 1024, posted: int = 8, rerank: int = 256) -> DataFrame:
+def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k: int = 10, pivots: int = 1024, posted: int = 12, rerank: int = 512) -> DataFrame:
     """``query, neighbour, cosine, place``: the ``k`` most similar rows of each query.
 
     ``queries`` is a frame with the column ``key``, or a condition on ``df``. The index
