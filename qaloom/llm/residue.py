@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qaloom.llm.defects import STOPWORDS
 from qaloom.llm.looks import look_of
 
 _C = regex.compile
@@ -60,6 +61,7 @@ FILLER = regex.compile(
 )
 _TAG = _C(r"</?(?:p|br|div|span|noscript|html|body|head|title|h\d|a|ul|li|b|i|center|hr|script|meta)\b[^<>]*>", regex.I)
 _SENTENCE = _C(r"[^。!?！？;；\n]+[。!?！？;；]*")
+_STOPS = {w for words in STOPWORDS.values() for w in words.split() if len(w) > 1}
 _WORD = _C(r"\p{Han}|[\p{L}\p{N}]+")
 #: Content characters a low-information body may have per character of its notices, and in all.
 SHARE, SPARE = 0.5, 12
@@ -80,6 +82,11 @@ def repetitive(words: list[str]) -> bool:
     return len(words) >= 8 and len(own := set(words)) <= FEW_WORDS and len(own) <= 0.4 * len(words)
 
 
+def meaningless(words: list[str]) -> bool:
+    """Latin words of no language: none of the words that every language needs."""
+    return len(words) >= 5 and _STOPS.isdisjoint(words) and all(w.isalpha() and w[0] < "\u0250" for w in words)
+
+
 def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool, str]:
     """(unfilled place, low information, strength of notices, shares a term with the title, masked body)."""
     if text is None or not text.strip():
@@ -87,10 +94,12 @@ def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool,
     body = tidy(text)
     # A few words over and over use few different characters.
     dull = len(set(body)) <= 4 * FEW_WORDS and repetitive(_WORD.findall(body.lower()))
+    # Mostly ASCII and without any function word: the sentences are looked at.
+    dull = dull or (len(body.encode()) < 1.35 * len(body) + 80 and _STOPS.isdisjoint(body.lower().split()))
     if not dull and not (PLACE.search(body) or ERROR.search(body) or SCRIPT.search(body) or FILLER.search(body)):
         return False, False, 0, False, ""
     place, notice, content, kinds = False, 0, 0, set()
-    words = []
+    words, told = [], []
     headed = False
     for m in _SENTENCE.finditer(body):
         s = m[0].strip()
@@ -104,6 +113,7 @@ def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool,
         if hit and not explained:
             cue = sum(len(x[0]) for p in (ERROR, SCRIPT, FILLER) for x in p.finditer(s))
             if cue >= 0.12 * len(s) or len(s) <= 40:
+                told += _WORD.findall(s.lower())
                 notice += len(s)
                 kinds.update(hit)
                 if cue >= 0.3 * len(s) or len(hit) > 1:
@@ -113,8 +123,9 @@ def examine(text: str | None, title: str | None) -> tuple[bool, bool, int, bool,
             headed = True  # a first line without an end is a headline
             continue
         headed = True
+        told += _WORD.findall(s.lower())
         content += len(s)
-    mass = repetitive(words) and ("filler" in kinds or not any(c.isdigit() for w in words for c in w))
+    mass = (meaningless(told) and (not kinds or "filler" in kinds)) or repetitive(words) and ("filler" in kinds or not any(c.isdigit() for w in words for c in w))
     low = mass or (notice > 0 and content <= max(SPARE, SHARE * notice))
     masked = low and regex.sub(r"[0-9a-fA-F]{6,}|\d+|[A-Za-z]{2}-?\d+", "#", body)
     shares = False
