@@ -32,7 +32,7 @@ QUERY_BLOCK = 16_384
 
 
 def matrix(keys: pa.Array, vectors: pa.Array, dim: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """The usable rows: keys and unit vectors (float32)."""
+    """The usable rows: keys and unit vectors in double precision, so that near ties stay apart."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     if isinstance(keys, pa.ChunkedArray):
@@ -43,21 +43,21 @@ def matrix(keys: pa.Array, vectors: pa.Array, dim: int | None) -> tuple[np.ndarr
         dim = int(np.bincount(size_of).argmax()) if len(size_of) else 0
     take = (size == dim) & (dim > 0) & ~np.asarray(keys.is_null())
     if not take.any():
-        return np.empty(0, np.int64), np.empty((0, dim or 1), np.float32)
+        return np.empty(0, np.int64), np.empty((0, dim or 1))
     mask = pa.array(take)
     flat = vectors.filter(mask).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
     wide = flat.astype(np.float64)
     norm = np.sqrt((wide * wide).sum(1))
     good = np.isfinite(norm) & (norm > 0)
     key = keys.filter(mask).to_numpy(zero_copy_only=False)[good]
-    return key, (wide[good] / norm[good][:, None]).astype(np.float32)
+    return key, wide[good] / norm[good][:, None]
 
 
 def permutations(v: np.ndarray, pivots: np.ndarray, posted: int) -> np.ndarray:
     """The ``posted`` nearest pivots of each vector, nearest first."""
     out = np.empty((len(v), posted), np.int32)
     for a in range(0, len(v), 4096):
-        near = v[a : a + 4096] @ pivots.T
+        near = v[a : a + 4096].astype(np.float32) @ pivots.T
         top = np.argpartition(-near, posted - 1, axis=1)[:, :posted] if posted < len(pivots) else np.broadcast_to(np.arange(posted), (len(near), posted))
         order = np.argsort(-np.take_along_axis(near, top, 1), axis=1, kind="stable")
         out[a : a + 4096] = np.take_along_axis(top, order, 1)
@@ -85,7 +85,7 @@ def search(key, v, perm, qkey, qv, qperm, n_pivots: int, k: int, rerank: int):
             least = np.partition(total[at], len(at) - rerank)[len(at) - rerank]
             at = at[total[at] >= least]
         at = at[key[at] != qkey[q]]
-        cos = np.round(v[at].astype(np.float64) @ qv[q].astype(np.float64), 7)
+        cos = np.round(v[at] @ qv[q], 9)
         best = np.lexsort((key[at], -cos))[:k]
         found.append((np.full(len(best), q), key[at][best], cos[best]))
     if not found:
@@ -105,7 +105,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k: int = 10, pivots: int = 1024, posted: int = 12, rerank: int = 512) -> DataFrame:
+def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k: int = 10, pivots: int = 1024, posted: int = 16, rerank: int = 1024) -> DataFrame:
     """``query, neighbour, cosine, place``: the ``k`` most similar rows of each query.
 
     ``queries`` is a frame with the column ``key``, or a condition on ``df``. The index
@@ -119,7 +119,7 @@ def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k
     empty = spark.createDataFrame([], "query long, neighbour long, cosine double, place int")
     sample = base.filter(F.col("vec").isNotNull()).orderBy(F.xxhash64("key"), "key").limit(2 * pivots).toArrow()
     _, piv = matrix(sample["key"], sample["vec"], None)
-    piv = piv[:pivots]
+    piv = piv[:pivots].astype(np.float32)
     if not len(piv):
         return empty
     dim, n_piv = piv.shape[1], len(piv)
@@ -128,7 +128,7 @@ def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k
     def index(batches):
         for b in batches:
             ks, v = matrix(b["key"], b["vec"], dim)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), dim).cast(pa.list_(pa.float32()))
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), dim).cast(pa.list_(pa.float64()))
             perm = pa.FixedSizeListArray.from_arrays(pa.array(permutations(v, piv, m).ravel()), m).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), lists, perm], ["key", "vec", "perm"])
 
@@ -136,7 +136,7 @@ def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k
     blocks = max(1, -(-n_asked // QUERY_BLOCK))
     indexed = base
     if blocks > 1:
-        indexed = Scratch(spark, "permutations").put(base.mapInArrow(index, "key long, vec array<float>, perm array<int>"))
+        indexed = Scratch(spark, "permutations").put(base.mapInArrow(index, "key long, vec array<double>, perm array<int>"))
 
     def searcher(qkey, qv, qperm):
         def run(batches):

@@ -34,7 +34,7 @@ select cluster_id, field_name, pos from f
 qualify row_number() over (partition by cluster_id, field_name order by trust desc, updated_at desc nulls last, pos) = 1
 """
 
-SQL["p4_found"] = """
+_FUSED = """
 with p as (
   select least(i, j) as i, greatest(i, j) as j,
          avg(ce_main) filter (where not isnan(ce_main)) as a, avg(ce_aux1) filter (where not isnan(ce_aux1)) as b,
@@ -47,8 +47,25 @@ with p as (
     case when c is not null then (rank() over (partition by i order by c nulls last) - 1 + count(*) over (partition by i, c) / 2.0) / count(c) over (partition by i) end as c
   from p
 ), v as (
-  select i, j, list_sort([round(coalesce(a, m), 12), round(coalesce(b, m), 12), round(coalesce(c, m), 12)]) as fused
-  from (select *, coalesce((coalesce(a, 0) + coalesce(b, 0) + coalesce(c, 0)) / nullif((a is not null)::int + (b is not null)::int + (c is not null)::int, 0), 0.5) as m from q where n >= 8)
+  select i, j, n, list_sort([round(coalesce(a, m), 12), round(coalesce(b, m), 12), round(coalesce(c, m), 12)]) as fused
+  from (select *, coalesce((coalesce(a, 0) + coalesce(b, 0) + coalesce(c, 0)) / nullif((a is not null)::int + (b is not null)::int + (c is not null)::int, 0), 0.5) as m from q)
 )
-select i, j from v qualify row_number() over (partition by i order by fused desc, j) = 1
+"""
+SQL["p4_found"] = _FUSED + "select i, j from v where n >= 8 qualify row_number() over (partition by i order by fused desc, j) = 1"
+SQL["p4_ranking"] = _FUSED + "select i, j, row_number() over (partition by i order by fused desc, j) as place, fused[1] as weakest from v"
+
+SQL["p3_found"] = """
+with v as (select pos, emb_a::double[] as e from emb_a where emb_a is not null and len(emb_a) = 64 and not list_bool_or([isnan(x) for x in emb_a])),
+u as (select pos, e, sqrt(list_dot_product(e, e)) as n from v), ok as (select * from u where n > 0),
+s as (select a.pos as q, b.pos as j, round(list_dot_product(a.e, b.e) / (a.n * b.n), 9) as cos
+      from (select distinct pos from emb_probes) p join ok a on a.pos = p.pos join ok b on b.pos <> p.pos),
+t as (select q, j from s qualify row_number() over (partition by q order by cos desc, j) <= 10)
+select distinct least(q, j) as pos_a, greatest(q, j) as pos_b from t
+"""
+
+SQL["p5_found"] = """
+with recursive e as (select distinct i as a, j as b from stage3_ranked_pairs where ce_final >= 0.83 and i <> j),
+both_ as (select a, b from e union select b, a from e),
+reach(node, root) as (select a, a from both_ union select k.b, r.root from reach r join both_ k on k.a = r.node where r.root < k.b)
+select min(root) as group_pos, node as pos from reach group by node
 """
