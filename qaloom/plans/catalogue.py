@@ -71,6 +71,7 @@ def qa_pipeline(spark: SparkSession, folder: str) -> DataFrame:
         pairs = pairs.join(rows.select(F.col("pos").alias(end)), end, "left_semi")
     comp = graph.components(graph.edges(pairs, HIGH))
     groups = comp.groupBy(F.col("component").alias("cluster_id")).agg(F.sort_array(F.collect_list("node")).alias("members")).withColumn("center", F.col("cluster_id"))
+    groups = Scratch(spark, "groups").put(groups)
     out = govern.govern(groups, rows)
     return govern.members_text(out)
 
