@@ -133,3 +133,13 @@ def test_residue(spark):
     assert {r.doc_id for r in left.collect()} == {i for i, _, bad in DOCS if not bad}
     clash = df.withColumnRenamed("title", "place").withColumnRenamed("source", "low")
     assert residue.residue_rows(clash, "doc_id", "text", "place", "low").count() == sum(b for _, _, b in DOCS)
+
+
+def test_refusals_with_numbers_and_length(spark):
+    long = "非常感谢您一直以来的关注和信任，" * 12
+    rows = [
+        (1, "积分怎么用？", "很抱歉，我无法回答这个问题，请拨打400-820-1234。"), (2, "安装费怎么收？", "订单12345678的事我无法回答这个问题，感谢理解。"),
+        (3, "发票在哪里？", long + "恕我不便作答。"), (4, "怎么换货？", "您好，感谢您的来信，谢谢您，祝您愉快，感谢支持，对不起，非常抱歉，恕我不便作答。"),
+        (5, "怎么退款？", "这一步我无法回答这个问题，退款申请提交后3天内原路退回。"), (6, "保修期多久？", "对不起，恕我不便作答，保修期为两年。"),
+    ]
+    assert got(defects.defects(frame(spark, rows), "pos", "question", "answer"), "pos", "defect") == {(i, "refusal") for i in (1, 2, 3, 4)}
