@@ -143,3 +143,10 @@ def test_refusals_with_numbers_and_length(spark):
         (5, "怎么退款？", "这一步我无法回答这个问题，退款申请提交后3天内原路退回。"), (6, "保修期多久？", "对不起，恕我不便作答，保修期为两年。"),
     ]
     assert got(defects.defects(frame(spark, rows), "pos", "question", "answer"), "pos", "defect") == {(i, "refusal") for i in (1, 2, 3, 4)}
+
+
+def test_missing_full_stop_alone_is_no_cut(spark):
+    rows = [(i, f"问题{i}怎么退？", TAIL[:-1]) for i in range(20)] + [(30, "怎么换？", "好的，" + TAIL), (31, "怎么修？", "您好，" + TAIL)]
+    rows += [(40, "哪里买？", "门店和官网都有售卖"), (41, "怎么收？", "上门费用为20元（含检测"), (42, "为何？", "今天不营业，因为")]
+    rows += [(43, "运费谁出？", "换货产生的运费由商家承担一半。"), (44, "运费呢？", "换货产生的运费")]
+    assert got(defects.defects(frame(spark, rows), "pos", "question", "answer"), "pos", "defect") == {(i, "truncated") for i in (41, 42, 44)}
