@@ -150,3 +150,14 @@ def test_missing_full_stop_alone_is_no_cut(spark):
     rows += [(40, "哪里买？", "门店和官网都有售卖"), (41, "怎么收？", "上门费用为20元（含检测"), (42, "为何？", "今天不营业，因为")]
     rows += [(43, "运费谁出？", "换货产生的运费由商家承担一半。"), (44, "运费呢？", "换货产生的运费")]
     assert got(defects.defects(frame(spark, rows), "pos", "question", "answer"), "pos", "defect") == {(i, "truncated") for i in (41, 42, 44)}
+
+
+def test_unrelated_bucket_members_do_not_hide_a_clause(spark, monkeypatch):
+    import pandas as pd
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    monkeypatch.setattr(defects, "band_keys", F.pandas_udf(lambda c: pd.Series([[1]] * len(c)), T.ArrayType(T.LongType())))
+    rows = [("aaaa unrelated", 1), ("我无法回答这个问题", 1), ("我无法回答这个问题", 2), ("恕我不便作答呢", 3), ("恕我不便作答呀", 4)]
+    found = defects.refusal_clauses(spark.createDataFrame(rows, "clause string, prompt long"))
+    assert got(found, "clause") == {("我无法回答这个问题",), ("恕我不便作答呢",), ("恕我不便作答呀",)}
