@@ -80,7 +80,7 @@ def qa_pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def qa_pipeline_stages(spark: SparkSession, folder: str) -> DataFrame:
     """All five stages with the model-free encoders and scorers; clusters of the constraint engine."""
     c = config.load(environ={})
-    for k, v in (("recall.topk", 20), ("cluster.engine", "parallel"), ("consistency.cos_a", 0.6), ("consistency.cos_b", 0.6), ("consistency.cos_c", 0.6), ("consistency.std_max", 0.2), ("observe.enable", False), ("observe.save_histograms", False)):
+    for k, v in (("cluster.engine", "parallel"), ("consistency.cos_a", 0.6), ("consistency.cos_b", 0.6), ("consistency.cos_c", 0.6), ("consistency.std_max", 0.2), ("observe.enable", False), ("observe.save_histograms", False)):
         c.set(k, v)
     p = Pipeline(spark, c, f"{folder}/stage1_clean.parquet", Scratch(spark, "pipeline").root)
     p.run()

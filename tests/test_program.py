@@ -116,3 +116,18 @@ def test_query_equals_sql(spark, name):
 
 def test_every_query_has_a_name_and_sql_is_known():
     assert set(catalogue.SQL) <= set(catalogue.QUERIES)
+
+
+def test_copies_do_not_crowd_out_other_wordings(spark, tmp_path):
+    a, b = "如何申请开具电子发票呢", "如何申请开具电子发票吗"
+    qa = [(f"{i:02d}", a if i < 15 else b, "在订单页申请") for i in range(30)] + [("30", "会员积分多久会过期", "一年"), ("31", "会员积分多久会过期", "一年")]
+    spark.createDataFrame(qa, "id string, question string, answer string").write.parquet(str(tmp_path / "in.parquet"))
+    c = config.load(environ={})
+    for k, v in (("recall.topk", 10), ("consistency.cos_a", 0.6), ("consistency.cos_b", 0.6), ("consistency.cos_c", 0.6), ("consistency.std_max", 0.3), ("cluster.engine", "parallel")):
+        c.set(k, v)
+    p = Pipeline(spark, c, str(tmp_path / "in.parquet"), str(tmp_path / "out"))
+    p.run(1, 4)
+    linked = {(r.i, r.j) for r in p.get("pairs_voted.parquet").collect()}
+    assert (0, 15) in linked
+    sizes = sorted(len(r.members) for r in p.get("clusters.parquet").collect())
+    assert sum(sizes) == 32 and sizes in ([2, 30], [2, 15, 15])
