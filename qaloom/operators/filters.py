@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qaloom.functions import text
-from qaloom.runtime import require
+from qaloom.runtime import Scratch, require
 
 
 def clean(df: DataFrame, question: str = "question", answer: str = "answer", keep_null: bool = False, **lists) -> DataFrame:
@@ -28,19 +28,31 @@ def keep(df: DataFrame) -> DataFrame:
 
 
 def dense_position(df: DataFrame, name: str, *order: str | Column) -> DataFrame:
-    """``df`` with ``name`` = 0..n-1 in the order of a unique key.
+    """``df`` with ``name`` = 0..n-1 in the order of the columns; rows that tie follow in any order.
 
-    Ranges of the key are numbered side by side and shifted by the sizes of the ranges
-    before them, so no task sees more than its range.
+    One range shuffle. Each range is sorted and its rows are numbered where they lie; that
+    frame is written once, so the sizes of the ranges, which shift the numbers, and the rows
+    themselves come from the same ranges. No task sees more than its range.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    parted = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    inner = Window.partitionBy("__part").orderBy(*order)
-    numbered = parted.withColumn("__row", F.row_number().over(inner))
-    sizes = numbered.groupBy("__part").agg(F.max("__row").cast("long").alias("__size"))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    ranged = Scratch(df.sparkSession, "positions").put(ranged)
+    part, row = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
+    sizes = ranged.groupBy(part.alias("__part")).agg(F.count("*").alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"))
-    return numbered.join(shift, "__part").withColumn(name, F.col("__shift") + F.col("__row") - 1).drop("__part", "__row", "__shift")
+    # One row per range, so never more than there are shuffle partitions.
+    out = ranged.withColumn("__part", part).join(F.broadcast(shift), "__part")
+    return out.withColumn(name, F.col("__shift") + row).drop("__part", "__at", "__shift")
+
+
+def renumbered(kept: DataFrame) -> DataFrame:
+    """The rows left by the filter with a new dense ``pos``, in the order of the former
+    ``pos`` where there is one, then of ``id`` and the texts; ``pos`` serves as a missing ``id``."""
+    kept = kept.withColumnRenamed("pos", "__pos")
+    order = [x for x in ("__pos", "id", "question", "answer") if x in kept.columns]
+    out = dense_position(kept, "pos", *[F.col(x).asc_nulls_last() for x in order]).drop("__pos")
+    return out if "id" in out.columns else out.withColumn("id", F.col("pos"))
 
 
 def with_id(df: DataFrame, *order: str | Column) -> DataFrame:

@@ -117,6 +117,13 @@ def dense_position(spark: SparkSession, folder: str) -> DataFrame:
     return filters.dense_position(filters.keep(_cleaned(spark, folder)).select("pos"), "place", "pos")
 
 
+@query
+def stage1_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole first stage as the pipeline writes it: cleaned, filtered, renumbered."""
+    out = filters.renumbered(filters.keep(filters.clean(table(spark, folder, "stage1_clean"))))
+    return out.select("pos", "id", "question", "answer", "kb", "category")
+
+
 @query
 def auto_id(spark: SparkSession, folder: str) -> DataFrame:
     return filters.with_id(table(spark, folder, "documents").select("doc_id", "source"), "doc_id")

@@ -37,6 +37,11 @@ SQL["filter_reason"] = f"with {_CLEANED} select pos, reason, reason <> 'blacklis
 SQL["filter_reason_counts"] = f"with {_CLEANED} select reason, count(*) as n from cleaned group by reason order by n desc, reason limit 20"
 SQL["filter_stats"] = f"with {_CLEANED} select count(*) as input, count(*) filter (where reason <> 'blacklist') as kept, round(count(*) filter (where reason <> 'blacklist') / greatest(1, count(*)), 6) as keep_rate from cleaned"
 SQL["dense_position"] = f"with {_CLEANED} select pos, row_number() over (order by pos) - 1 as place from cleaned where reason <> 'blacklist'"
+SQL["stage1_positions"] = f"""
+with kept as (select pos, id, question, answer, kb, category, {_REASON} as reason
+              from (select pos, id, {_norm('question')} as question, answer, kb, category from stage1_clean where question is not null))
+select row_number() over (order by pos) - 1 as pos, id, question, answer, kb, category from kept where reason <> 'blacklist'
+"""
 SQL["auto_id"] = "select doc_id, source, row_number() over (order by doc_id) - 1 as id from documents"
 
 _GRAMS = "case when length({c}) >= 3 then list_distinct([substring({c}, i, 3) for i in range(1, length({c}) - 1)]) else [] end"
