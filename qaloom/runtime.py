@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "qaloom", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -82,3 +83,22 @@ def require(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}; the table has {df.columns}")
+
+
+#: A key is hot from this many rows on, and only if it holds more than one row in ``HOT_SHARE``.
+HOT_ROWS, HOT_SHARE = 1_000_000, 10_000
+
+
+def join_sized(rows: DataFrame, groups: DataFrame, on: list[str], size: str, total: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``rows`` joined with ``groups``, which has one row per key and the key's number of rows in ``size``.
+
+    Of ``total`` rows fewer than ``HOT_SHARE`` keys can hold more than one in ``HOT_SHARE``
+    each, so the hot keys are broadcast, whatever the data, and their rows stay where they
+    lie; the other keys are shuffled, none with more than that share.
+    """
+    least = max(hot_rows, total // HOT_SHARE)
+    if total <= least:
+        return rows.join(groups.drop(size), on)
+    hot = groups.filter(F.col(size) > least).drop(size)
+    cold = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(cold.join(groups.filter(F.col(size) <= least).drop(size), on))

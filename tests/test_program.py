@@ -4,10 +4,12 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from qaloom import config
 from qaloom.plans import catalogue
 from qaloom.plans.pipeline import STAGES, Pipeline
+from qaloom.runtime import join_sized
 from qaloom.sources import files
 from qaloom.streaming import filtering
 
@@ -131,3 +133,11 @@ def test_copies_do_not_crowd_out_other_wordings(spark, tmp_path):
     assert (0, 15) in linked
     sizes = sorted(len(r.members) for r in p.get("clusters.parquet").collect())
     assert sum(sizes) == 32 and sizes in ([2, 30], [2, 15, 15])
+
+
+def test_join_sized_gives_the_plain_join(spark):
+    rows = spark.range(2000).select((F.col("id") % 7).alias("k"), "id").unionByName(spark.range(9000).select(F.lit(3).cast("long").alias("k"), "id"))
+    groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low")).filter("k <> 5")
+    want = sorted(map(tuple, rows.join(groups.drop("n"), ["k"]).select("k", "id", "low").collect()))
+    for hot in (10, 2000, 10**9):
+        assert sorted(map(tuple, join_sized(rows, groups, ["k"], "n", 11000, hot).select("k", "id", "low").collect())) == want
