@@ -6,10 +6,12 @@ reaches it first (the largest ``shift - distance``). Clusters contract to super-
 the edges between clusters form the next, geometrically smaller graph, and the
 assignments of all levels are composed.
 
-A level grows for ``ROUNDS`` steps: a label always comes from the vertex's own connected
-component, so stopping early only leaves more edges to the next level. Messages are
-reduced on the map side, so a hub costs no more than its edges. Each level is written to
-the shared folder; nothing is collected on the driver but row counts.
+A level grows until no vertex changes its cluster, that is until every shift has started
+and every cluster has met its neighbours. Only vertices that changed send on, messages
+are reduced on the map side, and labels are written every ``STEPS`` steps. Maps are
+composed from the smallest level down, so the vertices themselves are joined once;
+clusters that hold a large share of a level go by ``join_sized``. Nothing is collected on
+the driver but row counts.
 
 Edge cases: null ends and self-links are left out; repeated and reversed links count
 once; an empty table gives an empty result.
@@ -20,45 +22,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.runtime import Scratch
+from qaloom.runtime import Scratch, join_sized
 
-BETA = 0.1
-ROUNDS = 3
-MAX_LEVELS = 64
+#: Rate of the shifts: the mean lead is 1 / BETA steps, and about BETA of the edges are cut.
+BETA = 0.4
+STEPS = 3
+
+
+def _grown(edges: DataFrame, level: int, beta: float, scratch: Scratch) -> DataFrame:
+    """``a, centre``: the cluster of each vertex when nothing changes any more."""
+    both = scratch.put(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    unit = F.pmod(F.xxhash64("a", F.lit(level)), F.lit(1 << 52)).cast("double") / float(1 << 52)
+    labels = both.select("a").distinct().select("a", (-F.log(1 - unit) / beta).alias("lead"), F.col("a").alias("centre"), F.lit(True).alias("moved"))
+    last = None
+    while True:
+        for _ in range(STEPS):
+            sent = both.join(labels.filter("moved"), "a").select(F.col("b").alias("a"), (F.col("lead") - 1).alias("lead"), "centre", F.lit(True).alias("moved"))
+            met = labels.withColumn("moved", F.lit(False)).unionByName(sent).groupBy("a")
+            # The largest lead wins, on a tie the label held so far, then the larger centre.
+            labels = met.agg(F.max(F.struct("lead", (~F.col("moved")).alias("held"), "centre")).alias("x"))
+            labels = labels.select("a", "x.lead", "x.centre", (~F.col("x.held")).alias("moved"))
+        written = scratch.put(labels)
+        scratch.drop(last)
+        last = written
+        if written.filter("moved").isEmpty():
+            scratch.drop(both)
+            return written.select("a", "centre")
+        labels = written
 
 
 def groups(links: DataFrame, i: str, j: str, beta: float = BETA) -> DataFrame:
     """``node, group``: each linked node with the smallest node of its component."""
-    spark = links.sparkSession
-    scratch = Scratch(spark, "linkage")
+    scratch = Scratch(links.sparkSession, "linkage")
     ends = links.filter(F.col(i).isNotNull() & F.col(j).isNotNull() & (F.col(i) != F.col(j)))
     edges = scratch.put(ends.select(F.least(i, j).alias("a"), F.greatest(i, j).alias("b")).distinct())
-    maps: list[DataFrame] = []
-    for level in range(MAX_LEVELS):
-        if edges.isEmpty():
-            break
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        unit = F.pmod(F.xxhash64("a", F.lit(level)), F.lit(1 << 52)).cast("double") / float(1 << 52)
-        labels = both.select("a").distinct().select("a", (-F.log(1 - unit) / beta).alias("lead"), F.col("a").alias("centre"))
-        for _ in range(ROUNDS):
-            sent = both.join(labels, "a").select(F.col("b").alias("a"), (F.col("lead") - 1).alias("lead"), "centre")
-            labels = labels.unionByName(sent).groupBy("a").agg(F.max("lead").alias("l"), F.max_by("centre", "lead").alias("centre"))
-            labels = labels.select("a", F.col("l").alias("lead"), "centre")
-        labels = scratch.put(labels.select("a", "centre"))
-        maps.append(labels)
-        one = edges.join(labels.withColumnRenamed("centre", "ca"), "a")
-        two = one.join(labels.select(F.col("a").alias("b"), F.col("centre").alias("cb")), "b").filter("ca <> cb")
+    maps: list[tuple[DataFrame, DataFrame, int]] = []
+    while not edges.isEmpty():
+        at = _grown(edges, len(maps), beta, scratch)
+        # Of the smallest node below each vertex, the smallest names the cluster.
+        least = at.withColumn("low", F.col("a")) if not maps else at.join(maps[-1][1].select(F.col("centre").alias("a"), "low"), "a")
+        sized = scratch.put(least.groupBy("centre").agg(F.min("low").alias("low"), F.count("*").alias("size")))
+        maps.append((at, sized, at.count()))
+        one = edges.join(at.withColumnRenamed("centre", "ca"), "a")
+        two = one.join(at.select(F.col("a").alias("b"), F.col("centre").alias("cb")), "b").filter("ca <> cb")
         nxt = scratch.put(two.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
         scratch.drop(edges)
         edges = nxt
-    else:
-        raise RuntimeError(f"links did not contract within {MAX_LEVELS} levels")
     if not maps:
         return links.select(F.col(i).alias("node"), F.col(i).alias("group")).limit(0)
-    out = maps[0].select(F.col("a").alias("node"), F.col("centre").alias("at"))
-    for m in maps[1:]:
-        step = m.select(F.col("a").alias("at"), "centre")
-        out = out.join(step, "at", "left").select("node", F.coalesce("centre", "at").alias("at"))
-    out = scratch.put(out)
-    least = out.groupBy("at").agg(F.min("node").alias("group"))
-    return out.join(least, "at").select("node", "group")
+    # From the last level down: the vertices of a level are the clusters of the one below.
+    above = None
+    for at, sized, n in reversed(maps):
+        named = sized.select("centre", F.col("low").alias("group"), "size")
+        if above is not None:
+            named = sized.join(above.select(F.col("a").alias("centre"), F.col("group").alias("far")), "centre", "left")
+            named = named.select("centre", F.coalesce("far", "low").alias("group"), "size")
+        above = join_sized(at, scratch.put(named), ["centre"], "size", n).select("a", "group")
+    return above.select(F.col("a").alias("node"), "group")
