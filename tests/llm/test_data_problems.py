@@ -105,7 +105,8 @@ def test_groups(spark, seed):
         if a is not None and b is not None and a != b:
             a, b = find(a), find(b)
             root[max(a, b)] = min(a, b)
-    assert got(linkage.groups(df.union(df), "i", "j"), "group", "node") == {(find(x), x) for x in root}
+    for local in (0, 20, 10**6):
+        assert got(linkage.groups(df.union(df), "i", "j", local_edges=local), "group", "node") == {(find(x), x) for x in root}
     assert linkage.groups(df.limit(0), "i", "j").count() == 0
 
 
