@@ -185,3 +185,15 @@ def test_large_buckets_keep_every_verified_link(spark):
         assert all(defects.similar(a, b) for a, b in links)
         want = want or links
         assert links == want and len(links) == 36
+
+
+def test_pages_in_other_words(spark):
+    """No word pattern knows these pages: their clauses recur under titles and hosts that they have nothing in common with."""
+    pages = ["Whoops, that one has wandered off. Ticket 9f3e{i}a", "本页去散步了，过会儿来看看吧"]
+    rows = [(10 * k + i, p.replace("{i}", str(i)), f"商品{i}号怎么清洗保养", f"host{i}") for k, p in enumerate(pages) for i in range(8)]
+    # Real sentences recur too, but beside content; a page that shares terms with its title is no template.
+    rows += [(100 + i, "它的套餐每月可以变更。", f"主题{i}如何办理", f"host{i}") for i in range(4)] + [(200 + i, f"它的套餐每月可以变更。次日{i}点生效，差价{i}元。", None, "h") for i in range(9)]
+    rows += [(300 + i, "忘记登录密码请点找回。", "忘记登录密码怎么找回", f"host{i}") for i in range(5)]
+    rows += [(400, "您的__order_id__已发货。", None, "h"), (401, "<item.title>的保修期是两年。", None, "h"), (402, "$1的积分已到账。", None, "h"), (403, "<b>价格</b>是 $1 起。", None, "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, title string, source string")
+    assert {r.doc_id for r in residue.residue_rows(df, "doc_id", "text", "title", "source").collect()} == {*range(8), *range(10, 18), 400, 401, 402}
