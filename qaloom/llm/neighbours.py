@@ -8,7 +8,8 @@ exact cosine.
 The inverted files are partitioned by row block (a shard of at most ``SHARD`` rows per
 task at a time), as search engines do: postings and vectors never shuffle, only the
 ``k`` best of each query and partition do. Queries travel to the shards in blocks of at
-most ``QUERY_BLOCK`` vectors, so what is broadcast never grows with the data.
+most ``QUERY_BLOCK`` vectors, one block at a time: its result is written before the next
+block is read, so neither what is sent out nor what the driver holds grows with the data.
 
 Edge cases: null vectors, vectors with null, NaN or infinite entries, all-zero ones and
 those of another length than most of the sample are no queries and nobody's neighbours;
@@ -105,7 +106,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k: int = 10, pivots: int = 1024, posted: int = 16, rerank: int = 1024) -> DataFrame:
+def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k: int = 10, pivots: int = 1024, posted: int = 32, rerank: int = 2048) -> DataFrame:
     """``query, neighbour, cosine, place``: the ``k`` most similar rows of each query.
 
     ``queries`` is a frame with the column ``key``, or a condition on ``df``. The index
@@ -162,13 +163,15 @@ def similar(df: DataFrame, key: str, vector: str, queries: DataFrame | Column, k
 
         return run
 
-    out = None
+    scratch = Scratch(spark, "neighbours")
+    out = empty.drop("place")
     for b in range(blocks):
         block = asked.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b) if blocks > 1 else asked
         got = block.toArrow()
         qkey, qv = matrix(got["key"], got["vec"], dim)
-        part = indexed.mapInArrow(searcher(qkey, qv, permutations(qv, piv, m)), "query long, neighbour long, cosine double") if len(qkey) else empty.drop("place")
-        out = part if out is None else out.unionByName(part)
+        if len(qkey):
+            part = indexed.mapInArrow(searcher(qkey, qv, permutations(qv, piv, m)), "query long, neighbour long, cosine double")
+            out = part if blocks == 1 else out.unionByName(scratch.put(part))
     best = Window.partitionBy("query").orderBy(F.desc("cosine"), "neighbour")
     return out.distinct().withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
 
