@@ -19,11 +19,11 @@ import unicodedata
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaloom.llm.looks import Table, form_of, per_distinct
+from qaloom.llm.looks import Table, form_of, install, lookalikes, per_distinct
 from qaloom.runtime import Scratch, join_sized
 
 _DROPPED = Table(lambda ch: "" if unicodedata.category(ch)[0] in "PSZC" else ch)
@@ -156,9 +156,16 @@ def signed(text: str | None) -> tuple[bytes | None, str | None]:
     return unordered([(leaf(k), single(leaf(v))) for k, v in fields]) if fields else single(plain)
 
 
-@F.pandas_udf(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("canon", T.StringType())]))
-def merkle(values: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(per_distinct(values, signed), columns=["digest", "canon"])
+def merkle(spark: SparkSession):
+    """The column function that gives ``digest`` and ``canon`` of a text."""
+    table = lookalikes(spark)
+
+    @F.pandas_udf(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("canon", T.StringType())]))
+    def run(values: pd.Series) -> pd.DataFrame:
+        install(table)
+        return pd.DataFrame(per_distinct(values, signed), columns=["digest", "canon"])
+
+    return run
 
 
 def copy_links(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -169,7 +176,7 @@ def copy_links(df: DataFrame, key: str, text: str) -> DataFrame:
     structure, which is compared in full; once it agrees, digests alone name the groups.
     """
     scratch = Scratch(df.sparkSession, "copies")
-    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), merkle(F.col(text).cast("string")).alias("m"))
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), merkle(df.sparkSession)(F.col(text).cast("string")).alias("m"))
     rows = scratch.put(rows.select("key", "m.*").filter(F.col("digest").isNotNull()))
     found = rows.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
     dup = rows.join(found, "digest", "left_semi")

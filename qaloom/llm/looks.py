@@ -21,10 +21,14 @@ from __future__ import annotations
 import unicodedata
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qaloom.runtime import Scratch, join_sized
+
+# Look-alike letters come from the public Unicode confusables data, which Spark's own class
+# path carries (``lookalikes``). The tables below are the readings that go before it.
 # Cyrillic and Greek letters drawn like a Latin letter (public Unicode data).
 LATIN_LOOKALIKES = {
     "А": "A", "В": "B", "Е": "E", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O",
@@ -80,6 +84,48 @@ class Table(dict):
         return out
 
 
+def lookalikes(spark: SparkSession) -> dict[str, str]:
+    """Every letter or ideograph of the basic plane with the usual one it is confusable with.
+
+    By the skeletons of the Unicode confusables: a letter stands for the ASCII letter of its
+    case with the same skeleton, else for the skeleton itself if that is one character of
+    its kind. ASCII stays as it is. Empty where the class path has no such data.
+    """
+    known = _CONFUSABLES.get("table")
+    if known is None:
+        chars = [c for c in map(chr, range(0xA1, 0xFFF0)) if unicodedata.category(c) in ("Lu", "Ll", "Lo", "So") and unicodedata.normalize("NFKD", c) == c]
+        latin = [chr(c) for c in (*range(65, 91), *range(97, 123))]
+        try:
+            checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+            skeletons = checker.getSkeleton("\n".join(latin + chars)).split("\n")
+        except Exception:
+            skeletons = latin + chars
+        ascii_ = {(s, c.isupper()): c for c, s in zip(latin, skeletons[: len(latin)], strict=True)}
+        known = {}
+        for c, s in zip(chars, skeletons[len(latin) :], strict=True):
+            kind = unicodedata.category(c)
+            to = ascii_.get((s, kind == "Lu")) if kind in ("Lu", "Ll") else None
+            if to is None and len(s) == 1 and unicodedata.category(s) == ("Lo" if kind == "So" else kind):
+                to = s
+            if to is not None and to != c:
+                known[c] = to
+        _CONFUSABLES["table"] = known
+    return known
+
+
+_CONFUSABLES: dict[str, dict[str, str]] = {}
+
+
+def install(table: dict[str, str]) -> None:
+    """Makes ``look_of`` use a table of look-alikes in this process."""
+    if _CONFUSABLES.get("used") != table:
+        _CONFUSABLES["used"] = table
+        # Own readings go first, for the targets too, so that a second pass changes nothing.
+        ends = {k: _LETTERS.get(ord(v), v) for k, v in table.items() if ord(k) not in _LETTERS}
+        _LETTERS.update(str.maketrans({k: v for k, v in ends.items() if k != v}))
+        _SEEN.clear()
+
+
 def _seen(ch: str) -> str:
     if _INVISIBLE.match(ch):
         return ""
@@ -121,20 +167,35 @@ def per_distinct(values: pd.Series, f) -> list:
     return [out[c] for c in codes]
 
 
-@F.pandas_udf(T.StructType([T.StructField("look", T.StringType()), T.StructField("form", T.StringType())]))
-def looks(values: pd.Series) -> pd.DataFrame:
-    both = per_distinct(values, lambda x: (y := look_of(x), folded(y)))
-    return pd.DataFrame(both, columns=["look", "form"])
+def looks(spark: SparkSession):
+    """The column function that gives ``look`` and ``form`` of a text."""
+    table = lookalikes(spark)
+
+    @F.pandas_udf(T.StructType([T.StructField("look", T.StringType()), T.StructField("form", T.StringType())]))
+    def run(values: pd.Series) -> pd.DataFrame:
+        install(table)
+        both = per_distinct(values, lambda x: (y := look_of(x), folded(y)))
+        return pd.DataFrame(both, columns=["look", "form"])
+
+    return run
+
 
+def consistent(spark: SparkSession):
+    """The column function that gives the consistent form of a text."""
+    table = lookalikes(spark)
 
-@F.pandas_udf(T.StringType())
-def consistent(values: pd.Series) -> pd.Series:
-    return pd.Series(per_distinct(values, form_of), dtype=object)
+    @F.pandas_udf(T.StringType())
+    def run(values: pd.Series) -> pd.Series:
+        install(table)
+        return pd.Series(per_distinct(values, form_of), dtype=object)
+
+    return run
 
 
 def normalise_columns(df: DataFrame, *columns: str) -> DataFrame:
     """``df`` with each named text column in its consistent form."""
-    return df.withColumns({c: consistent(F.col(c)) for c in columns})
+    form = consistent(df.sparkSession)
+    return df.withColumns({c: form(F.col(c)) for c in columns})
 
 
 def key128(c: Column) -> Column:
@@ -142,15 +203,9 @@ def key128(c: Column) -> Column:
     return F.unhex(F.md5(c))
 
 
-def seen_alike(df: DataFrame, key: str, *fields: str) -> DataFrame:
-    """Pairs of rows whose field looks the same but differs in characters.
-
-    Gives ``field_name, <key>_a, <key>_b`` with ``<key>_a < <key>_b``. Pairs are formed
-    between the different spellings of one look, never within a spelling, so verbatim
-    copies of a text (even a third of all rows) meet only texts that differ from them.
-    Rows whose values are equal up to runs of blanks, tabs and line breaks are no pair,
-    nor are nulls and texts with nothing visible. A repeated row is one row.
-    """
+def _spelt(df: DataFrame, key: str, fields: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """One row per value with something visible (digests of look and spelling), and the
+    spellings of the looks that have several, with the rows of each."""
     long = df.select(
         F.col(key).alias("key"),
         F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in fields])).alias("x"),
@@ -158,19 +213,49 @@ def seen_alike(df: DataFrame, key: str, *fields: str) -> DataFrame:
     long = long.filter(F.col("value").isNotNull() & F.col("key").isNotNull())
     plain = F.trim(F.regexp_replace("value", r"[ \t\r\n\x0B\f]+", " "))
     rows = (
-        long.select("key", "field_name", plain.alias("plain"), looks("value").alias("s"))
+        long.select("key", "field_name", plain.alias("plain"), looks(df.sparkSession)("value").alias("s"))
         .filter(F.length("s.look") > 0)
-        .select("key", "field_name", key128(F.col("s.form")).alias("form"), key128(F.col("s.look")).alias("look"), key128(F.col("plain")).alias("plain"))
+        # The form adds nothing to the look here: equal looks have equal forms.
+        .select("key", "field_name", key128(F.col("s.look")).alias("look"), key128(F.col("plain")).alias("plain"))
     )
-    from qaloom.runtime import Scratch
-
-    rows = Scratch(df.sparkSession, "looks").put(rows)
-    spelt = rows.select("field_name", "form", "look", "plain").distinct()
-    many = spelt.groupBy("field_name", "form", "look").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    spelt = spelt.join(many, ["field_name", "form", "look"], "left_semi")
-    one, two = (spelt.withColumnRenamed("plain", f"plain_{x}") for x in "ab")
-    differ = one.join(two, ["field_name", "form", "look"]).filter("plain_a < plain_b").select("field_name", "look", "plain_a", "plain_b")
-    at = lambda x: rows.select("field_name", "look", F.col("plain").alias(f"plain_{x}"), F.col("key").alias(f"key_{x}"))
-    pairs = differ.join(at("a"), ["field_name", "look", "plain_a"]).join(at("b"), ["field_name", "look", "plain_b"])
+    scratch = Scratch(df.sparkSession, "looks")
+    rows = scratch.put(rows)
+    spelt = rows.groupBy("field_name", "look", "plain").agg(F.count("*").alias("size"), F.min("key").alias("first"))
+    several = Window.partitionBy("field_name", "look")
+    spelt = spelt.withColumn("n", F.count("*").over(several)).filter("n > 1").drop("n")
+    return rows, scratch.put(spelt)
+
+
+def seen_alike(df: DataFrame, key: str, *fields: str) -> DataFrame:
+    """Pairs of rows whose field looks the same but differs in characters.
+
+    Gives ``field_name, <key>_a, <key>_b`` with ``<key>_a < <key>_b``. Pairs are formed
+    between the different spellings of one look, never within a spelling, so verbatim
+    copies of a text (even a third of all rows) meet only texts that differ from them.
+    Rows whose values are equal up to runs of blanks, tabs and line breaks are no pair,
+    nor are nulls and texts with nothing visible. A repeated row is one row. ``alike`` says
+    the same without listing pairs.
+    """
+    rows, spelt = _spelt(df, key, fields)
+    total = rows.count()
+    kept = join_sized(rows, spelt.select("field_name", "look", "plain", "size"), ["field_name", "look", "plain"], "size", total)
+    kept = Scratch(df.sparkSession, "alike").put(kept)
+    one, two = (spelt.select("field_name", "look", F.col("plain").alias(f"plain_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
+    differ = one.join(two, ["field_name", "look"]).filter("plain_a < plain_b")
+    at = lambda x: kept.select("field_name", "look", F.col("plain").alias(f"plain_{x}"), F.col("key").alias(f"key_{x}"))
+    pairs = differ.join(at("a"), ["field_name", "look", "plain_a"]).select("field_name", "look", "plain_b", "key_a").join(at("b"), ["field_name", "look", "plain_b"])
     low, high = F.least("key_a", "key_b"), F.greatest("key_a", "key_b")
     return pairs.filter("key_a <> key_b").select("field_name", low.alias(f"{key}_a"), high.alias(f"{key}_b")).distinct()
+
+
+def alike(df: DataFrame, key: str, *fields: str) -> DataFrame:
+    """``field_name, <key>, class_<key>, links`` of every row that looks like one of other characters.
+
+    The class is named by the smallest key that has its look; ``links`` counts the rows of
+    the class that are spelt differently. Linear in the rows, whatever the classes' sizes.
+    """
+    rows, spelt = _spelt(df.dropDuplicates([key]), key, fields)
+    look = Window.partitionBy("field_name", "look")
+    classes = spelt.select("field_name", "look", "plain", "size", F.min("first").over(look).alias(f"class_{key}"), (F.sum("size").over(look) - F.col("size")).alias("links"))
+    out = join_sized(rows, classes, ["field_name", "look", "plain"], "size", rows.count())
+    return out.select("field_name", F.col("key").alias(key), f"class_{key}", "links")

@@ -197,3 +197,33 @@ def test_pages_in_other_words(spark):
     rows += [(400, "您的__order_id__已发货。", None, "h"), (401, "<item.title>的保修期是两年。", None, "h"), (402, "$1的积分已到账。", None, "h"), (403, "<b>价格</b>是 $1 起。", None, "h")]
     df = spark.createDataFrame(rows, "doc_id long, text string, title string, source string")
     assert {r.doc_id for r in residue.residue_rows(df, "doc_id", "text", "title", "source").collect()} == {*range(8), *range(10, 18), 400, 401, 402}
+
+
+def test_classes_of_looks(spark):
+    rows = [(1, "Ａbc", None), (2, "Abc", None), (3, "Аbc", None), (4, "Abc", None), (5, "abc", None), (6, None, "カ口"), (7, None, "力口"), (8, " ", "")]
+    df = frame(spark, rows)
+    want = {("question", 1, 1, 3), ("question", 2, 1, 2), ("question", 3, 1, 3), ("question", 4, 1, 2), ("answer", 6, 6, 1), ("answer", 7, 6, 1)}
+    assert got(looks.alike(df.union(df), "pos", "question", "answer"), "field_name", "pos", "class_pos", "links") == want
+    pairs = {(f, a, b) for f, a, b in [("question", 1, 2), ("question", 1, 3), ("question", 1, 4), ("question", 2, 3), ("question", 3, 4), ("answer", 6, 7)]}
+    assert got(looks.seen_alike(df, "pos", "question", "answer"), "field_name", "pos_a", "pos_b") == pairs
+    assert looks.alike(df.limit(0), "pos", "question").count() == 0
+
+
+def test_public_confusables(spark):
+    table = looks.lookalikes(spark)
+    assert len(table) > 500 and all(ord(c) > 127 for c in table)
+    looks.install(table)
+    assert all(looks.look_of(looks.look_of(c)) == looks.look_of(c) for c in map(chr, range(0x20, 0xFFF0)) if not 0xD800 <= ord(c) < 0xE000)
+    assert looks.look_of("Г") == looks.look_of("Γ")
+    for c, to in (("ѕ", "s"), ("ԛ", "q"), ("ⲟ", "o"), ("Ꭲ", "T"), ("カ", "力")):
+        assert table[c] == to
+
+
+def test_deep_and_long_records():
+    deep = "[" * 20000 + "1" + "]" * 20000
+    assert copies.signed(deep)[0] == copies.signed(deep.replace("1", " １ "))[0]
+    long = "很长的标签" * 12
+    assert copies.signed(f"{long}：甲；乙：丙；丁：戊") == copies.signed(f"丁：戊；{long}：甲；乙：丙") != copies.signed(f"丁：戊；{long}：丙；乙：甲")
+    assert copies.signed('{"a": {"b": [1, null]}, "c": "x\\"y"}') == copies.signed('{"c":"x\\"Y", "a": {"b": [1,null]}}')
+    assert copies.signed('{"a": [1, 2]}') != copies.signed('{"a": [2, 1]}')
+    assert copies.signed('{"a": 1, }') is not None and copies.signed('{"a" 1}') is not None
