@@ -2,6 +2,7 @@
 
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -164,6 +165,37 @@ def test_fusion_discounts_copies(spark):
     assert survivor.fuse(t[0].limit(0), t[1], sources, **ARGS).count() == 0
 
 
+def planted(clusters=300, seed=11):
+    """Claims of sources of known accuracy; ``bad`` is mostly wrong and four others copy it."""
+    rng = random.Random(seed)
+    accuracy = {f"s{i}": 0.55 + 0.06 * i for i in range(6)} | {"bad": 0.25}
+    copiers = [f"c{i}" for i in range(4)]
+    rows, members, truth = [], [], {}
+    for c in range(clusters):
+        false = [f"假{c} {k}" for k in range(10)]
+        truth[c] = f"真{c}"
+        claims = {s: truth[c] if rng.random() < p else rng.choice(false) for s, p in accuracy.items() if s == "bad" or rng.random() < 0.85}
+        claims |= {s: claims["bad"] if rng.random() < 0.95 else rng.choice([truth[c], *false]) for s in copiers}
+        at = range(len(rows), len(rows) + len(claims))
+        rows += [(p, claims[s], None, None, s, None) for p, s in zip(at, sorted(claims), strict=True)]
+        members.append((c, list(at)))
+    return rows, members, truth, [*accuracy, *copiers]
+
+
+@pytest.mark.parametrize("block", [2048, 4])
+def test_fusion_finds_planted_truth(spark, block):
+    rows, members, truth, names = planted()
+    sources = spark.createDataFrame([(s, None) for s in names], "kb string, trust int")
+    t = tables(spark, rows, members)
+    out = survivor.fuse(t[0], t[1], sources, **ARGS, block=block).collect()
+    value = {r[0]: r[1] for r in rows}
+    right = sum(value[r.pos] == truth[r.cluster_id] for r in out) / len(truth)
+    votes = {c: Counter(value[p] for p in at).most_common(1)[0][0] for c, at in members}
+    majority = sum(votes[c] == truth[c] for c in truth) / len(truth)
+    print(f"fused {right:.3f}, majority {majority:.3f}")
+    assert len(out) == len(truth) and right >= 0.9 and right >= majority + 0.2
+
+
 TEXTS = [None, "", " ", "Hello world, it's 2024!", "你好，世界。这是一段没有空格的中文文本" * 3, "a" * 5000, "混合 mixed 文本 with é and 🎉🎉", "<|endoftext|>", "\n\n\t  x", "한국어 русский 日本語", "１２３ＡＢＣ", "…" * 50, " " * 300 + "x"]
 
 
