@@ -66,7 +66,8 @@ def qa_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Filter questions, link the kept rows by strong pairs, govern the groups' answers."""
     rows = filters.keep(_cleaned(spark, folder)).select("pos", "question", "answer")
     rows = Scratch(spark, "kept").put(rows)
-    pairs = table(spark, folder, "stage3_ranked_pairs")
+    # Only links can join rows; the others are not worth a shuffle.
+    pairs = table(spark, folder, "stage3_ranked_pairs").filter(F.col("ce_final") >= HIGH)
     for end in ("i", "j"):
         pairs = pairs.join(rows.select(F.col("pos").alias(end)), end, "left_semi")
     comp = graph.components(graph.edges(pairs, HIGH))
@@ -195,6 +196,12 @@ def ngram_recall(spark: SparkSession, folder: str) -> DataFrame:
     return recall.with_ngram_pairs(pairs, recall.ngram_join(rows, "pos", "question"))
 
 
+@query
+def ngram_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of rows whose questions share enough n-grams, by the inverted index."""
+    return rounded(recall.ngram_join(table(spark, folder, "stage1_clean"), "pos", "question"), "jaccard")
+
+
 @query
 def consistency_vote(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "embeddings")

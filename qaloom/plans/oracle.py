@@ -53,6 +53,21 @@ s as (select p.i, p.j, least(a.n, b.n) as n, case when len(a.g) = 0 and len(b.g)
       from p join g a on a.pos = p.i join g b on b.pos = p.j)
 select i, j, round(s, 6) as jaccard, s >= case when n < 10 then 0.50 else 0.45 end as hit from s
 """
+_CODES = "list_transform(range(1, length({c}) + 1), lambda i: [unicode(substring({c}, i::int, 1))::bigint])"
+SQL["edit_distance"] = f"""
+with p as (select distinct least(i, j) as i, greatest(i, j) as j from stage3_ranked_pairs where i <> j),
+t as (select pos, {_CODES.format(c="question")} as c from stage1_clean where question is not null),
+w as (select p.i, p.j, a.c as a, b.c as b, list_transform(range(1, len(b.c) + 1), lambda k: [k]) as steps from p join t a on a.pos = p.i join t b on b.pos = p.j)
+select i, j, list_reduce(a, lambda up, x: list_reduce(steps, lambda row, k: list_append(row, least(row[-1] + 1, up[k[1] + 1] + 1, up[k[1]] + (b[k[1]] <> x)::bigint)), [up[1] + 1]), range(0, len(b) + 1))[-1]::int as distance from w
+"""
+SQL["ngram_pairs"] = f"""
+with r as (select pos, question as text, length(question) as n, {_GRAMS.format(c="question")} as g from stage1_clean where question is not null),
+u as (select pos, n, len(g) as size, unnest(g) as gram from r),
+s as (select a.pos as i, b.pos as j, any_value(a.n) as n, any_value(b.n) as m, count(*) as common, any_value(a.size) + any_value(b.size) - count(*) as either from u a join u b on a.gram = b.gram and a.pos < b.pos group by 1, 2),
+e as (select pos, n from r where len(g) = 0)
+select i, j, round(common / either, 6) as jaccard from s where common / either >= case when least(n, m) < 10 then 0.50 else 0.45 end
+union all select a.pos, b.pos, 1.0 from e a join e b on a.pos < b.pos
+"""
 SQL["l2_normalize"] = """
 with e as (select vec_id, [x::double * 3 for x in embedding] as v from embeddings),
 n as (select vec_id, v, greatest(sqrt(list_dot_product(v, v)), 1e-12) as n from e)
@@ -178,6 +193,7 @@ from grp g join kept k on k.pos = g.cluster_id left join rep r on r.cluster_id =
 SQL["recall_stats"] = f"""
 with {_KNN}, p as (select least(q, j) as i, greatest(q, j) as j, max(score) as score, bool_or(score >= 0.3) as hit from knn group by 1, 2)
 select (select count(*) from knn) as pairs_vector_raw, (select count(*) from knn where score >= 0.3) as ngram_hits, count(*) as pairs_union, count(*) filter (where hit) as pairs_ngram,
+       (select count(distinct q) from knn) as self_removed, count(*) filter (where hit) as pairs_ngram_raw,
        count(*) filter (where score >= 0.25) as pairs_consistent, round(avg((score >= 0.25)::int), 6) as pass_rate from p
 """
 SQL["csv_round_trip"] = "select kb, kind, trust::varchar as trust, main_lang from kb_sources"

@@ -7,8 +7,12 @@ every executor sees that folder, so a lost executor costs a re-read and nothing
 
 from __future__ import annotations
 
+import importlib.metadata
+import logging
 import os
+import platform
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +82,54 @@ class Scratch:
                 p.getFileSystem(conf).delete(p, True)
 
 
+class Progress:
+    """Logs how far a loop of known length has come, and how long the rest may take."""
+
+    def __init__(self, name: str, total: int):
+        self.name, self.total, self.done, self.began = name, total, 0, time.time()
+
+    def step(self) -> None:
+        self.done += 1
+        if self.total > 1:
+            spent = time.time() - self.began
+            logging.getLogger("qaloom").info("%s %d/%d, %.1f s, about %.1f s left", self.name, self.done, self.total, spent, spent / self.done * (self.total - self.done))
+
+
+#: Packages that parts of the library use: those it needs, then those that only one part asks for.
+NEEDED, OPTIONAL = ("pyspark", "pyarrow", "pandas", "numpy", "pyyaml", "xxhash", "regex"), ("openpyxl", "xlrd", "matplotlib", "tiktoken", "onnxruntime")
+
+
+def environment(spark: SparkSession | None = None) -> dict:
+    """A record of interpreter, machine, cluster and package versions (None where not installed)."""
+
+    def version(name: str) -> str | None:
+        try:
+            return importlib.metadata.version(name)
+        except importlib.metadata.PackageNotFoundError:
+            return None
+
+    out = {"python": platform.python_version(), "platform": platform.platform(), "cores": os.cpu_count(), "needed": {n: version(n) for n in NEEDED}, "optional": {n: version(n) for n in OPTIONAL}}
+    if spark is not None:
+        out |= {"spark": spark.version, "master": spark.sparkContext.master, "parallelism": spark.sparkContext.defaultParallelism}
+    return out
+
+
+def workers(n_jobs: int | None, available: int) -> int:
+    """Tasks to spread over: all where -1, 0 or unset, else at least 1 and at most what there is."""
+    return available if n_jobs in (-1, 0, None) else max(1, min(int(n_jobs), available))
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path and the path on it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
 def require(df: DataFrame, *columns: str) -> None:
     """Raise when a needed column is absent."""
     missing = [c for c in columns if c not in df.columns]

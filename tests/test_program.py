@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from qaloom import config
+from qaloom import config, runtime
 from qaloom.plans import catalogue
 from qaloom.plans.pipeline import STAGES, Pipeline
 from qaloom.runtime import join_sized
@@ -37,7 +37,7 @@ def test_readers(spark, tmp_path):
     assert files.load_input(spark, str(tmp_path / "none.csv"), "q", "a", "sample").columns == ["id", "q", "a"]
     with pytest.raises(ValueError):
         files.load_input(spark, str(tmp_path / "x.parquet"))
-    files.dump_json(str(tmp_path / "d.json"), {"一": 1})
+    files.dump_json(spark, str(tmp_path / "d.json"), {"一": 1})
     assert "一" in (tmp_path / "d.json").read_text(encoding="utf-8")
     if files.importlib.util.find_spec("openpyxl") is None:
         assert files.write_excel(df, str(tmp_path / "x.xlsx")) is False
@@ -84,8 +84,14 @@ def test_whole_pipeline(spark, tmp_path):
     assert any(len(r.members) == 12 and r.conflict for r in final)
     assert os.path.exists(tmp_path / "out" / "stage_stats.json")
     assert files.read_table(spark, str(tmp_path / "out" / "final_clusters.csv")).count() == len(final)
+    assert {"num_questions", "topk", "self_removed", "pairs_ngram_raw", "encode_seconds", "search_seconds"} <= set(stats["stage2"])
+    assert any("environment" in (tmp_path / "out" / "logs" / f).read_text() for f in os.listdir(tmp_path / "out" / "logs") if f.endswith(".jsonl"))
     c.set("cluster.engine", "parallel")
     p.run(4, 5)
+    c.set("recall.input", "raw")
+    c.set("recall.faiss.persist_path", str(tmp_path / "index"))
+    raw = Pipeline(spark, c, str(tmp_path / "in.parquet"), str(tmp_path / "raw"))
+    assert raw.run(2, 2)["stage2"]["num_questions"] == sum(q is not None for _, q, _ in QA) and os.path.exists(tmp_path / "index" / "rows")
     for start, end in ((3, 2), (0, 1), (1, len(STAGES) + 1)):
         with pytest.raises(ValueError):
             p.run(start, end)
@@ -141,3 +147,16 @@ def test_join_sized_gives_the_plain_join(spark):
     want = sorted(map(tuple, rows.join(groups.drop("n"), ["k"]).select("k", "id", "low").collect()))
     for hot in (10, 2000, 10**9):
         assert sorted(map(tuple, join_sized(rows, groups, ["k"], "n", 11000, hot).select("k", "id", "low").collect())) == want
+
+
+def test_gbk_after_a_long_ascii_start(spark, tmp_path):
+    text = "question,answer\n" + "plain,text\n" * 20_000 + "如何开票,申请即可\n"
+    (tmp_path / "late.csv").write_bytes(text.encode("gbk"))
+    df = files.read_csv(spark, str(tmp_path / "late.csv"), multi_line=False)
+    assert df.count() == 20_001 and [tuple(r) for r in df.filter("question <> 'plain'").collect()] == [("如何开票", "申请即可")]
+
+
+def test_environment_record(spark):
+    record = runtime.environment(spark)
+    assert record["needed"]["pyspark"] and record["spark"] == spark.version and "openpyxl" in record["optional"]
+    assert [runtime.workers(n, 8) for n in (-1, 0, None, 3, 99, -5)] == [8, 8, 8, 3, 8, 1]
