@@ -56,13 +56,17 @@ class Scratch:
     ``put`` writes a frame and reads it back, which cuts the lineage and gives the
     optimizer true sizes, so a join is broadcast only below
     ``spark.sql.autoBroadcastJoinThreshold``. ``drop`` frees what a later round replaced.
-    Tables an operator's result still reads stay until the cluster clears the folder.
+    Tables an operator's result still reads stay until ``release`` or the cluster clears them.
     """
 
+    #: The folders of this process that were not released yet, oldest first.
+    roots: list[str] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/qaloom-{name}-{uuid.uuid4().hex}"
         self.count = 0
+        Scratch.roots.append(self.root)
 
     def put(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -82,6 +86,17 @@ class Scratch:
                 p.getFileSystem(conf).delete(p, True)
 
 
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the scratch folders made since ``len(Scratch.roots)`` was ``since``.
+
+    For whoever has written or read the results: frames that still read them fail afterwards.
+    """
+    gone, Scratch.roots[since:] = Scratch.roots[since:], []
+    for root in gone:
+        fs, p = hadoop_path(spark, root)
+        fs.delete(p, True)
+
+
 class Progress:
     """Logs how far a loop of known length has come, and how long the rest may take."""
 

@@ -160,3 +160,12 @@ def test_environment_record(spark):
     record = runtime.environment(spark)
     assert record["needed"]["pyspark"] and record["spark"] == spark.version and "openpyxl" in record["optional"]
     assert [runtime.workers(n, 8) for n in (-1, 0, None, 3, 99, -5)] == [8, 8, 8, 3, 8, 1]
+
+
+def test_scratch_tables_are_released(spark):
+    since = len(runtime.Scratch.roots)
+    scratch = runtime.Scratch(spark, "mine")
+    kept = scratch.put(spark.range(5))
+    assert kept.count() == 5 and runtime.exists(spark, scratch.root)
+    runtime.release(spark, since)
+    assert not runtime.exists(spark, scratch.root) and len(runtime.Scratch.roots) == since
