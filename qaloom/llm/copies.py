@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 import regex
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaloom.llm.looks import Table, form_of, install, lookalikes, per_distinct
+from qaloom.llm.looks import Table, form_of, lookalikes, per_distinct, reading
 from qaloom.runtime import Scratch, join_sized
 
 _DROPPED = Table(lambda ch: "" if unicodedata.category(ch)[0] in "PSZC" else ch)
@@ -34,9 +35,9 @@ _QUOTED = regex.compile(r'"([^"]+)"\s*:\s*(?:"([^"]*)"|([^",{}\[\]]+))')
 _JSON = regex.compile(r'\s*(?:([{}\[\],:])|("(?:[^"\\]|\\.)*+")|([^\s{}\[\],:"]+))', regex.S)
 
 
-def leaf(text: str) -> str:
-    """A text without blanks, case, punctuation and width."""
-    return form_of(text).translate(_DROPPED)
+def leaf(text: str, form: Callable[[str], str] = form_of) -> str:
+    """A text without blanks, case, punctuation and width; ``form`` gives the consistent form."""
+    return form(text).translate(_DROPPED)
 
 
 def fold(text: str) -> tuple[bytes, str] | None:
@@ -115,9 +116,9 @@ def parse(text: str) -> list[tuple[str, str]] | None:
     return list(map(tuple, fields)) if len(fields) > 1 else None
 
 
-def unify_breaks(text: str) -> str:
+def unify_breaks(text: str, form: Callable[[str], str] = form_of) -> str:
     """The consistent form line by line, so that line breaks still part the fields."""
-    return "\n".join(form_of(x) for x in text.splitlines()) if "\n" in text or "\r" in text else form_of(text)
+    return "\n".join(map(form, text.splitlines())) if "\n" in text or "\r" in text else form(text)
 
 
 # A node is (digest, canonical): the Merkle digest of 16 bytes and the whole structure as one string.
@@ -141,14 +142,15 @@ def _hash(x: bytes) -> bytes:
     return hashlib.blake2b(x, digest_size=16).digest()
 
 
-def signed(text: str | None) -> tuple[bytes | None, str | None]:
+def signed(text: str | None, form: Callable[[str], str] = form_of) -> tuple[bytes | None, str | None]:
     """(digest, canonical) of a text, or (None, None) when nothing of it counts."""
-    plain = None if text is None else leaf(text)
+    plain = None if text is None else leaf(text, form)
     if not plain:
         return None, None
-    if not _FIELDS.search(form_of(text)):
+    if not _FIELDS.search(form(text)):
         return single(plain)
-    seen = unify_breaks(text).strip()
+    # The parts of a text in its consistent form only lose blanks and punctuation.
+    seen = unify_breaks(text, form).strip()
     node = fold(seen) if seen[:1] in ("{", "[") else None
     if node is not None:
         return node
@@ -162,8 +164,8 @@ def merkle(spark: SparkSession):
 
     @F.pandas_udf(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("canon", T.StringType())]))
     def run(values: pd.Series) -> pd.DataFrame:
-        install(table)
-        return pd.DataFrame(per_distinct(values, signed), columns=["digest", "canon"])
+        form = reading(table).form_of
+        return pd.DataFrame(per_distinct(values, lambda x: signed(x, form)), columns=["digest", "canon"])
 
     return run
 

@@ -56,7 +56,7 @@ RADICALS = {
 _INVISIBLE = regex.compile(r"[\p{Default_Ignorable_Code_Point}\p{Cc}--[\t\n\v\f\r\x85]]", regex.V1)
 _BLANK = regex.compile(r"[\s\p{Z}]")
 _MARK = regex.compile(r"\p{M}")
-_LETTERS = str.maketrans(LATIN_LOOKALIKES | OTHER_LOOKALIKES | RADICALS)
+_OWN = LATIN_LOOKALIKES | OTHER_LOOKALIKES | RADICALS
 #: Decompositions whose two sides are drawn alike. Circled, superscript, fraction and other styled forms show.
 _SAME_LOOK = ("<wide>", "<narrow>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>", "<vertical>")
 
@@ -89,11 +89,12 @@ def lookalikes(spark: SparkSession) -> dict[str, str]:
 
     By the skeletons of the Unicode confusables: a letter stands for the ASCII letter of its
     case with the same skeleton, else for the skeleton itself if that is one character of
-    its kind. ASCII stays as it is. Empty where the class path has no such data.
+    its kind. ASCII stays as it is, and so do unified ideographs, which are letters of their
+    own however alike (士 and 土). Empty where the class path has no such data.
     """
     known = _CONFUSABLES.get("table")
     if known is None:
-        chars = [c for c in map(chr, range(0xA1, 0xFFF0)) if unicodedata.category(c) in ("Lu", "Ll", "Lo", "So") and unicodedata.normalize("NFKD", c) == c]
+        chars = [c for c in map(chr, range(0xA1, 0xFFF0)) if not "\u4e00" <= c <= "\u9fff" and unicodedata.category(c) in ("Lu", "Ll", "Lo", "So") and unicodedata.normalize("NFKD", c) == c]
         latin = [chr(c) for c in (*range(65, 91), *range(97, 123))]
         try:
             checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
@@ -116,40 +117,50 @@ def lookalikes(spark: SparkSession) -> dict[str, str]:
 _CONFUSABLES: dict[str, dict[str, str]] = {}
 
 
-def install(table: dict[str, str]) -> None:
-    """Makes ``look_of`` use a table of look-alikes in this process."""
-    if _CONFUSABLES.get("used") != table:
-        _CONFUSABLES["used"] = table
+class Looks:
+    """Reads texts as they are seen, by a table of look-alikes."""
+
+    def __init__(self, table: dict[str, str]):
         # Own readings go first, for the targets too, so that a second pass changes nothing.
-        ends = {k: _LETTERS.get(ord(v), v) for k, v in table.items() if ord(k) not in _LETTERS}
-        _LETTERS.update(str.maketrans({k: v for k, v in ends.items() if k != v}))
-        _SEEN.clear()
+        ends = {k: _OWN.get(v, v) for k, v in table.items()} | _OWN
+        self.table = table
+        self.letters = str.maketrans({k: v for k, v in ends.items() if k != v})
+        self.characters = Table(self._seen)
+
+    def _seen(self, ch: str) -> str:
+        if _INVISIBLE.match(ch):
+            return ""
+        if _BLANK.match(ch):
+            return " "
+        return unicodedata.normalize("NFC", unicodedata.normalize("NFD", _glyph(ch)).translate(self.letters))
 
+    def look_of(self, text: str | None) -> str | None:
+        """``text`` as it is seen: equal looks give equal results."""
+        if text is None:
+            return None
+        text = text.translate(self.characters)
+        if not text.isascii() and _MARK.search(text):
+            text = unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(self.letters))
+        return " ".join(text.split())
 
-def _seen(ch: str) -> str:
-    if _INVISIBLE.match(ch):
-        return ""
-    if _BLANK.match(ch):
-        return " "
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", _glyph(ch)).translate(_LETTERS))
+    def form_of(self, text: str | None) -> str | None:
+        """The consistent form: compatibility-normalised, case-folded ``look_of``."""
+        return folded(self.look_of(text))
 
 
-_SEEN = Table(_seen)
+#: By the tables above alone; and the last one made of the confusables, for the texts of a task.
+PLAIN = Looks({})
+_LAST: list[Looks] = []
 
 
-def look_of(text: str | None) -> str | None:
-    """``text`` as it is seen: equal looks give equal results."""
-    if text is None:
-        return None
-    text = text.translate(_SEEN)
-    if not text.isascii() and _MARK.search(text):
-        text = unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(_LETTERS))
-    return " ".join(text.split())
+def reading(table: dict[str, str]) -> Looks:
+    """``Looks`` of a table, made once in a process."""
+    if not _LAST or _LAST[0].table != table:
+        _LAST[:] = [Looks(table)]
+    return _LAST[0]
 
 
-def form_of(text: str | None) -> str | None:
-    """The consistent form: compatibility-normalised, case-folded ``look_of``."""
-    return folded(look_of(text))
+look_of, form_of = PLAIN.look_of, PLAIN.form_of
 
 
 def folded(look: str | None) -> str | None:
@@ -173,8 +184,8 @@ def looks(spark: SparkSession):
 
     @F.pandas_udf(T.StructType([T.StructField("look", T.StringType()), T.StructField("form", T.StringType())]))
     def run(values: pd.Series) -> pd.DataFrame:
-        install(table)
-        both = per_distinct(values, lambda x: (y := look_of(x), folded(y)))
+        seen = reading(table).look_of
+        both = per_distinct(values, lambda x: (y := seen(x), folded(y)))
         return pd.DataFrame(both, columns=["look", "form"])
 
     return run
@@ -186,8 +197,7 @@ def consistent(spark: SparkSession):
 
     @F.pandas_udf(T.StringType())
     def run(values: pd.Series) -> pd.Series:
-        install(table)
-        return pd.Series(per_distinct(values, form_of), dtype=object)
+        return pd.Series(per_distinct(values, reading(table).form_of), dtype=object)
 
     return run
 
