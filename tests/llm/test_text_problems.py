@@ -220,6 +220,27 @@ def test_public_confusables(spark):
         assert table[c] == to
 
 
+def test_missing_confusables_raise(spark, monkeypatch):
+    """Without the data there is no result, and a failure is not kept for later runs."""
+    from types import SimpleNamespace
+
+    class Absent:
+        """What the gateway gives for a package that the class path lacks."""
+
+        def __getattr__(self, name):
+            return Absent()
+
+        def __call__(self, *args):
+            raise TypeError("'JavaPackage' object is not callable")
+
+    monkeypatch.setattr(looks, "_CONFUSABLES", {})
+    for f in (looks.lookalikes, looks.looks, looks.consistent, copies.merkle):
+        with pytest.raises(RuntimeError, match="confusables"):
+            f(SimpleNamespace(_jvm=Absent()))
+    df = frame(spark, [(1, "ⲟk", None), (2, "ok", None)])
+    assert got(looks.seen_alike(df, "pos", "question"), "pos_a", "pos_b") == {(1, 2)}
+
+
 def test_deep_and_long_records():
     deep = "[" * 20000 + "1" + "]" * 20000
     assert copies.signed(deep)[0] == copies.signed(deep.replace("1", " １ "))[0]
