@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,8 +70,8 @@ _STOP = {lang: set(words.split()) for lang, words in STOPWORDS.items()}
 ENDING, BANDS, ROWS, SIMILAR = 4, 16, 2, 0.6
 #: A declining clause must recur under this many different prompts, one without declining words under more.
 PROMPTS = 2
-#: Clauses of a bucket that are linked in one go.
-BUCKET = 2_000
+#: Clauses of a bucket that are linked in one go; of a larger one, a block at a time.
+BUCKET, BLOCK = 2_000, 1_000
 
 
 def bare(text: str) -> str:
@@ -377,50 +377,89 @@ def pairs(text: str) -> set[str]:
     return {text[i : i + 2] for i in range(max(1, len(text) - 1))}
 
 
-def similar(a: str, b: str) -> bool:
-    x, y = pairs(a), pairs(b)
+def near(x: set[str], y: set[str]) -> bool:
     return len(x & y) >= SIMILAR * len(x | y)
 
 
-def _led(members: list[str]) -> list[tuple[str, str]]:
-    """The clauses of a bucket with every head they are similar to; one similar to none becomes a head."""
-    heads: list[str] = []
+def similar(a: str, b: str) -> bool:
+    return near(pairs(a), pairs(b))
+
+
+def _led(members: list[str]) -> tuple[list[tuple[str, str]], list[str]]:
+    """The clauses of a bucket in ascending order, each with every earlier head it is similar
+    to; one similar to none becomes a head. And the heads."""
+    heads: dict[str, set[str]] = {}
     out = []
     for c in sorted(members):
-        own = [h for h in heads if similar(c, h)]
+        x = pairs(c)
+        own = [h for h, y in heads.items() if near(x, y)]
         if not own:
-            heads.append(c)
+            heads[c] = x
         out += [(c, h) for h in own if h != c]
-    return out
+    return out, list(heads)
 
 
-@F.pandas_udf(T.BooleanType())
-def verified(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similar(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
+def _led_block(batches):
+    """The links of each block of clauses and its heads (with themselves); ``last`` is its last clause."""
+    for pdf in batches:
+        rows = []
+        for bucket, parts, members in zip(pdf["bucket"], pdf["parts"], pdf["members"], strict=True):
+            (links, heads), last = _led(list(members)), max(members)
+            rows += [(bucket, parts, c, h, last) for c, h in links + [(h, h) for h in heads]]
+        yield pd.DataFrame(rows, columns=["bucket", "parts", "clause", "head", "last"])
+
+
+def _led_later(rest: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
+    """Clauses outside of a block with those of its heads that they come after and are similar
+    to; ``more`` for the ones behind the whole block, which later blocks still concern."""
+    rows = []
+    if len(heads):
+        known, last = [(h, pairs(h)) for h in heads["head"]], heads["last"].iloc[0]
+        for bucket, clause, led, parts in zip(rest["bucket"], rest["clause"], rest["led"], rest["parts"], strict=True):
+            if led or clause > last:
+                x = pairs(clause)
+                own = [h for h, y in known if h < clause and near(x, y)]
+                rows.append((bucket, clause, bool(led or own), parts, clause > last, own))
+    return pd.DataFrame(rows, columns=["bucket", "clause", "led", "parts", "more", "heads"])
 
 
 def head_links(keyed: DataFrame, scratch: Scratch, most: int = BUCKET) -> DataFrame:
     """``clause, head`` of the verified links within buckets (``clause, bucket``).
 
-    A bucket of up to ``most`` clauses is linked in one go. Larger ones go round by round:
-    every clause is compared with the smallest of its bucket, those similar to it are linked
-    and leave with it, until none is left; so no task holds a large bucket.
+    The links are those of ``_led``, whatever a bucket's size. A bucket of up to ``most``
+    clauses is linked in one go. Larger ones go block by block: the first clauses that
+    follow no head yet are linked with each other, then all later clauses, whether they follow
+    a head or not, are compared with the new heads, in parts of about ``most``; so no task
+    holds a large bucket.
     """
     sizes = scratch.put(keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
     few = keyed.join(sizes.filter(F.col("n") <= most).select("bucket"), "bucket").groupBy("bucket").agg(F.collect_list("clause").alias("members")).select("members")
 
     def link(batches):
         for pdf in batches:
-            yield pd.DataFrame([x for m in pdf["members"] for x in _led(list(m))], columns=["clause", "head"])
+            yield pd.DataFrame([x for m in pdf["members"] for x in _led(list(m))[0]], columns=["clause", "head"])
 
     out = few.mapInPandas(link, "clause string, head string")
-    left = keyed.join(sizes.filter(F.col("n") > most).select("bucket"), "bucket").select("bucket", "clause")
-    while sizes.filter(F.col("n") > most).limit(1).count() and not left.isEmpty():
-        headed = left.join(left.groupBy("bucket").agg(F.min("clause").alias("head")), "bucket").filter("clause <> head")
-        headed = scratch.put(headed.withColumn("near", verified("clause", "head")))
-        out = out.unionByName(headed.filter("near").select("clause", "head"))
-        left = headed.filter("not near").select("bucket", "clause")
-    return out
+    large = sizes.filter(F.col("n") > most)
+    if large.isEmpty():
+        return out
+    left = scratch.put(keyed.join(large, "bucket").select("bucket", "clause", F.lit(False).alias("led"), F.ceil(F.col("n") / most).cast("int").alias("parts")))
+    order = Window.partitionBy("bucket").orderBy("clause")
+    part = F.pmod(F.xxhash64("clause"), F.col("parts")).alias("part")
+    while True:
+        block = left.filter("not led").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= min(most, BLOCK))
+        block = block.groupBy("bucket", "parts").agg(F.collect_list("clause").alias("members"))
+        block = scratch.put(block.mapInPandas(_led_block, "bucket long, parts int, clause string, head string, last string"))
+        if block.isEmpty():
+            return out
+        out = out.unionByName(block.filter("clause <> head").select("clause", "head"))
+        heads = block.filter("clause = head").select("bucket", "head", "last", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"))
+        later = left.select("*", part).groupBy("bucket", "part").cogroup(heads.groupBy("bucket", "part"))
+        later = scratch.put(later.applyInPandas(_led_later, "bucket long, clause string, led boolean, parts int, more boolean, heads array<string>"))
+        out = out.unionByName(scratch.put(later.select("clause", F.explode("heads").alias("head"))))
+        scratch.drop(left)
+        left = later.filter("more").select("bucket", "clause", "led", "parts")
+        left._scratch = later._scratch
 
 
 def refusal_clauses(opened: DataFrame, used: DataFrame | None = None) -> DataFrame:

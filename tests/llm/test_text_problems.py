@@ -187,6 +187,40 @@ def test_large_buckets_keep_every_verified_link(spark):
         assert links == want and len(links) == 36
 
 
+def test_links_do_not_depend_on_the_size_of_a_bucket(spark, monkeypatch):
+    """A clause follows every head before it that it is similar to, also beyond the size that is linked in one go."""
+    from functools import partial
+
+    import pandas as pd
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from qaloom.runtime import Scratch
+
+    rng = random.Random(1)
+    words = {b: sorted({"".join(rng.choices("甲乙丙", k=6)) for _ in range(n)}) for b, n in ((1, 45), (2, 25), (3, 4))}
+    want = set()
+    for bucket in words.values():
+        heads = []
+        for c in bucket:
+            own = [h for h in heads if defects.similar(c, h)]
+            want |= {(c, h) for h in own}
+            heads += [] if own else [c]
+    assert len(want) > len({c for c, _ in want})  # some follow several heads
+    keyed = spark.createDataFrame([(w, b) for b, bucket in words.items() for w in bucket], "clause string, bucket long").repartition(3)
+    for most in (2000, 30, 5):
+        assert got(defects.head_links(keyed, Scratch(spark, "heads"), most), "clause", "head") == want
+    # The last one follows both others; only with its prompt does the second have two.
+    opened = spark.createDataFrame([("一一法答复子丑寅卯辰巳午", 1), ("我无法答复子丑寅卯辰丁丁", 2), ("我无法答复子丑寅卯辰巳午", 3)], "clause string, prompt long")
+    monkeypatch.setattr(defects, "band_keys", F.pandas_udf(lambda c: pd.Series([[1]] * len(c)), T.ArrayType(T.LongType())))
+    found = []
+    for most in (2000, 2, 1):
+        with monkeypatch.context() as m:
+            m.setattr(defects, "head_links", partial(defects.head_links, most=most))
+            found.append(got(defects.refusal_clauses(opened), "clause", "size", "sure"))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 3
+
+
 def test_pages_in_other_words(spark):
     """No word pattern knows these pages: their clauses recur under titles and hosts that they have nothing in common with."""
     pages = ["Whoops, that one has wandered off. Ticket 9f3e{i}a", "本页去散步了，过会儿来看看吧"]
